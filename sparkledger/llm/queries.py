@@ -7,22 +7,33 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontamination, oracles, secrets
 from .packing import packed_documents
 from .shared import table
 from .token_counts import count_tokens
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op6_token_counts": op6_token_counts,
+    "op7_secret_scan": op7_secret_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_decontamination": oracles.OP2}
