@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, oracles, secrets
+from . import decontamination, language_id, oracles, secrets
 from .packing import packed_documents
 from .shared import table
 from .token_counts import count_tokens
@@ -25,6 +25,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
+    "op8_language_id": op8_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
