@@ -22,3 +22,38 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+OP3 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), t AS (
+  SELECT *, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]')) + 4 AS tokens,
+    row_number() OVER w AS pos, first_value(role) OVER w = 'system' AS headed, first_value(text) OVER w AS head
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), s AS (
+  SELECT *, sum(tokens) OVER w AS total, CASE WHEN headed THEN first_value(tokens) OVER w ELSE 0 END AS head_tokens
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+), o AS (
+  SELECT *, CASE WHEN headed AND pos = 1 THEN NULL
+    ELSE CAST(floor((total - head_tokens - 1) / greatest(floor((768 - head_tokens) / 2), 1)) AS BIGINT) END AS own FROM s
+), l AS (
+  SELECT *, lead(own, 1) OVER w AS a1, lead(own, 2) OVER w AS a2, lead(total, 1) OVER w AS t1
+  FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+), placed AS (
+  SELECT conv_id, pos, role, text, headed, head, coalesce(own, a1, 0) AS win FROM l
+  UNION ALL SELECT conv_id, pos, role, text, headed, head, a1 FROM l WHERE own IS NOT NULL AND a1 <> own AND tokens <= 256
+  UNION ALL SELECT conv_id, pos, role, text, headed, head, a2 FROM l WHERE own IS NOT NULL AND a2 <> a1 AND t1 - (total - tokens) <= 256
+), retained AS (
+  SELECT * FROM placed
+  UNION ALL SELECT conv_id, 1, 'system', any_value(head), true, any_value(head), win FROM placed WHERE headed GROUP BY conv_id, win HAVING min(pos) > 1
+), sized AS (
+  SELECT conv_id, win, 3 + sum(length(text) + len(regexp_extract_all(text, '<\\*/?s>')) + len(regexp_extract_all(text, '\[\\*/?(?:SYS|INST|ASST|ROLE)[^\[\]]*\]'))
+    + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 12 ELSE 16 + 2 * strlen(role) END) AS chars
+  FROM retained GROUP BY conv_id, win
+), chars AS (SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM sized GROUP BY conv_id)
+SELECT t.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+FROM t JOIN chars ON chars.conv_id IS NOT DISTINCT FROM t.conv_id GROUP BY t.conv_id
+"""

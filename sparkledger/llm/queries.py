@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, oracles, secrets
+from . import chat_format, decontamination, language_id, oracles, secrets
 from .packing import packed_documents
 from .shared import table
 from .token_counts import count_tokens
@@ -17,6 +17,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.sql("SELECT CAST(-1 AS BIGINT) AS conv_id, CAST(k AS BIGINT) AS turn, IF(k = 0, 'user', 'assistant') AS role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0), (1) AS t(k)")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.conversation_digests(chat_format.windows(turns.unionByName(own)))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,10 +41,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op3_chat_format": op3_chat_format,
     "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_decontamination": oracles.OP2}
+ORACLE_SQL: dict[str, str] = {"op2_decontamination": oracles.OP2, "op3_chat_format": oracles.OP3}
