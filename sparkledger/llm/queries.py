@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, language_id, oracles, secrets
+from . import chat_format, decontamination, language_id, oracles, secrets, topk_search
 from .packing import packed_documents
 from .shared import table
 from .token_counts import count_tokens
@@ -23,6 +23,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(chat_format.windows(turns.unionByName(own)))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.quantised(table(spark, sf_dir, "embeddings"))
+    return topk_search.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,10 +47,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_chat_format": op3_chat_format,
+    "op4_topk_search": op4_topk_search,
     "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_decontamination": oracles.OP2, "op3_chat_format": oracles.OP3}
+ORACLE_SQL: dict[str, str] = {"op2_decontamination": oracles.OP2, "op3_chat_format": oracles.OP3, "op4_topk_search": oracles.OP4}
