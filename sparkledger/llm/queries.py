@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, language_id, oracles, secrets, topk_search
+from . import chat_format, decontamination, language_id, licenses, oracles, secrets, topk_search
+from .license_texts import TEMPLATES
 from .packing import packed_documents
 from .shared import table
 from .token_counts import count_tokens
@@ -40,6 +41,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), TEMPLATES))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
+    "op9_license_scan": op9_license_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
