@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, language_id, licenses, oracles, secrets, topk_search
+from . import chat_format, decontamination, jaccard_join, language_id, licenses, oracles, secrets, topk_search
 from .license_texts import TEMPLATES
 from .packing import packed_documents
 from .shared import table
 from .token_counts import count_tokens
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.component_of_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -50,6 +54,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
     "op3_chat_format": op3_chat_format,
     "op4_topk_search": op4_topk_search,
