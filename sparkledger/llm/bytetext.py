@@ -33,7 +33,7 @@ def byte_codes(seed: int) -> np.ndarray:
     return mix64(np.arange(1, 257, dtype=np.uint64) * _BASE + np.uint64(seed))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, at least n + 1 of each."""
     if not _POWERS or len(_POWERS["up"]) <= n:
         size = max(n + 1, SLICE_BYTES + 1)
@@ -105,7 +105,7 @@ class Words:
 
     def hashes(self, data: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each word's bytes under the given codes."""
-        up, down = _powers(len(data))
+        up, down = powers(len(data))
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(codes[data] * up[: len(data)], out=sums[1:])
         return mix64((sums[self.ends] - sums[self.starts]) * down[self.starts])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, jaccard_join, language_id, licenses, oracles, secrets, topk_search
+from . import chat_format, decontamination, jaccard_join, language_id, licenses, oracles, secrets, substring_dedup, topk_search
 from .license_texts import TEMPLATES
 from .packing import packed_documents
 from .shared import table
@@ -33,6 +33,10 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_chat_format": op3_chat_format,
     "op4_topk_search": op4_topk_search,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
