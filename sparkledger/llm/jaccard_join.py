@@ -353,3 +353,15 @@ def component_of_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     final = labelled.join(least, "component").select("class", "component_id")
     joined = own.join(final, "class", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with the least id of each component kept; rows without an id stay, equal rows of one id become one."""
+    found = stored(component_of_documents(docs, id_col=id_col, text_col=text_col), "components")
+    dropped = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("dropped_id")).distinct()
+    rest = docs.join(dropped, F.col(id_col).cast("long") == F.col("dropped_id"), "left_anti")
+    repeated = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("repeated_id"))
+    if repeated.isEmpty():
+        return rest
+    again = F.col(id_col).cast("long") == F.col("repeated_id")
+    return rest.join(repeated, again, "left_anti").unionByName(rest.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col]))

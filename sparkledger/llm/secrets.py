@@ -215,3 +215,29 @@ def redact(text: str, marker: str = "[secret]") -> str:
 
 def digest(spans: list[tuple[int, int, str]]) -> str:
     return hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in spans).encode()).hexdigest()
+
+
+def redacted(docs: DataFrame, *, text_col: str = "text", chars_col: str | None = None, marker: str = "[secret]") -> DataFrame:
+    """docs with every span of every text replaced by the marker, and the length column, if one is named, kept right.
+
+    All rows and columns stay; a null text stays null."""
+    place, chars = docs.columns.index(text_col), docs.columns.index(chars_col) if chars_col else None
+
+    def run(batches):
+        for batch in batches:
+            _, offsets = B.utf8_buffers(batch.column(place))
+            for lo, hi in B.row_slices(offsets, 8 << 20):
+                rows = batch.slice(lo, hi - lo)
+                before = rows.column(place).to_pylist()
+                after = [t and redact(t, marker) for t in before]
+                changed = [i for i, (x, y) in enumerate(zip(before, after, strict=True)) if x != y]
+                if changed:
+                    rows = rows.set_column(place, rows.schema.field(place), pa.array(after, type=rows.schema.field(place).type))
+                    if chars is not None:
+                        counts = rows.column(chars).to_pylist()
+                        for i in changed:
+                            counts[i] = len(after[i])
+                        rows = rows.set_column(chars, rows.schema.field(chars), pa.array(counts, type=rows.schema.field(chars).type))
+                yield rows
+
+    return docs.mapInArrow(run, docs.schema)
