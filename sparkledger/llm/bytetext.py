@@ -95,7 +95,7 @@ class Words:
         before = np.zeros(n + 1, dtype=bool)
         before[1:] = inside[:n]
         edges = offsets[1:-1]
-        edges = edges[(edges > 0) & (edges < n)]
+        edges = np.unique(edges[(edges > 0) & (edges < n)])
         joined = edges[inside[edges] & before[edges]]  # a word may not run over a row's end
         before[joined] = False
         self.starts = np.flatnonzero(inside & ~before)

@@ -150,7 +150,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = N, id_col:
         part = _scan(keyed.select(F.col("row").alias("doc_id"), text_col), rows)
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy(F.col("doc_id").alias("row")).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    hit = F.array_sort(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("runs") / 2 - 1), lambda i: F.sequence(F.get("runs", (i * 2).cast("int")), F.get("runs", (i * 2 + 1).cast("int")) - 1)))))
+    hit = F.array_sort(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1), lambda i: F.sequence(F.get("runs", i * 2), F.get("runs", i * 2 + 1) - 1)))))
     merged = merged.withColumn("n_hit", F.when(F.size("runs") == 0, 0).otherwise(F.size(hit)).cast("long"))
     return keyed.select("row", "doc_id").join(merged, "row").drop("row")
 

@@ -34,7 +34,7 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     up = smaller_than_next(t)
     padded = np.concatenate([t, np.zeros(depth, dtype=np.uint8)])
     view = np.lib.stride_tricks.sliding_window_view(padded, depth)
-    direct = np.flatnonzero(up)
+    direct = np.flatnonzero(up)[::-1]  # of those that end within the depth, the shorter comes first
     keys = np.ascontiguousarray(view[direct]).view(f"S{depth}").ravel()
     direct = direct[np.argsort(keys, kind="stable")]
     del keys
