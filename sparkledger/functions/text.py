@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that normalisation maps to plain ones: dashes, quotes (fixed values).
 _DASHES = "‐‑‒–—―−"
@@ -14,7 +15,7 @@ _QUOTES = {"‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"
 _TABLE = str.maketrans({**dict.fromkeys(_DASHES, "-"), **_QUOTES, "\u00ad": ""})
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def normalized_exact(text: pd.Series) -> pd.Series:
     """Compatibility form, joined line breaks at hyphens, plain dashes and quotes, single spaces, case folded."""
     import re
@@ -30,7 +31,7 @@ def normalized_exact(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf("struct<text:string,places:array<int>>")
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("places", T.ArrayType(T.IntegerType()))]))
 def normalized_with_map(text: pd.Series) -> pd.DataFrame:
     """Normalised text by single characters, with the source place of each of its characters."""
 
@@ -76,7 +77,7 @@ def label(text: Column) -> Column:
 
 def first_span(text: Column, needle: Column) -> Column:
     """0-based start and exclusive end of the first occurrence, ignoring case; null if there is none."""
-    at = F.locate_expr(text, needle) if hasattr(F, "locate_expr") else F.instr(F.lower(text), F.lower(needle))
+    at = F.instr(F.lower(text), F.lower(needle))
     return F.when((F.length(needle) > 0) & (at > 0), F.struct((at - 1).alias("start"), (at - 1 + F.length(needle)).alias("end")))
 
 

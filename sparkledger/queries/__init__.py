@@ -1,6 +1,6 @@
 """Queries of the engine over the test tables."""
 
-from . import rules
+from . import evidence, rules
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "rules"]
+__all__ = ["QUERIES", "SQL", "evidence", "rules"]
