@@ -1,6 +1,6 @@
 """Queries of the engine over the test tables."""
 
-from . import evidence, rules
+from . import aggregates, evidence, joins, rules
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "evidence", "rules"]
+__all__ = ["QUERIES", "SQL", "aggregates", "evidence", "joins", "rules"]
