@@ -34,15 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .anchors import WINDOW, runs
+from .anchors import GRAM, WINDOW, runs
 from .shared import arrow_schema, map_batches, shuffle_width, stored, text_column
 from .suffix_sort import adjacent_prefixes, suffix_array
 
-CROWD = 400
 #: Contexts whose rows a task holds before it sends them.
 HELD = 1_000_000
 #: Bytes of contexts that are sorted at a time (whole anchors).
 SORTED = 1 << 19
+#: An anchor is crowded if its contexts, at their longest, fill more than one such sort.
+CROWD = SORTED // (2 * WINDOW - GRAM + 1)
 
 _CODES = B.byte_codes(55)
 
