@@ -9,7 +9,8 @@ order of tokens, so:
    heaviest (at most ``MAX_HEAVY``, a table of proven size) are broadcast.
 2. All orders put rare tokens first, by that weight, and differ in the hash that orders tokens of one weight.  Prefix tokens
    under the first order are dealt to buckets by token.  Classes that meet in a bucket, and pass the length and position
-   filters, are candidates; in a bucket of more than ``SMALL`` classes only those with its middle member (the hub) are.
+   filters, are candidates; in a bucket of more than ``SMALL`` classes only those with one of its ``HUBS`` hubs are.  Hubs
+   are the members of the least class digests, so the buckets of one group of near copies mostly agree on them.
 3. Candidates must also share a prefix token under every other order; the intersection of these filters goes to
    verification, an exact intersection of the two sets, computed from the texts.
 4. Links are contracted to components.  Where a large bucket still holds several components, its pairs across components
@@ -26,18 +27,27 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import bytetext as B
 from .components import connected_components
-from .shared import arrow_schema, stored, text_column
+from .shared import arrow_schema, shuffle_width, stored, text_column
 
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
 SMALL = 32
+HUBS = 4
+#: Members of a large bucket that one task compares with as many others in the second turn.
+BLOCK = 2_000
+#: Bits of the table by which texts that no pair needs are left out of a shuffle.
+BITS = 22
+#: Buckets are dealt to at least so many tasks.
+MIN_TASKS = 64
 MAX_HEAVY = 200_000
 #: A token is told to the others once so many sets of one task hold it.
 LOCAL = 4
@@ -180,7 +190,7 @@ def _passes(na, nb, pa_, pb) -> np.ndarray:
 class _Bucketed:
     """Entries of one partition, sorted by bucket, length and class, with copies of a class dropped."""
 
-    def __init__(self, table: pa.Table, extra: str | None = None):
+    def __init__(self, table: pa.Table):
         col = {c: table.column(c).to_numpy() for c in ("token", "doc_id", "class", "n", "pos")}
         order = np.lexsort((col["doc_id"], col["class"], col["n"], col["token"]))
         token, cls = col["token"][order], col["class"][order]
@@ -188,10 +198,14 @@ class _Bucketed:
         order = order[keep]
         self.token, self.doc, self.cls = col["token"][order], col["doc_id"][order], col["class"][order]
         self.n, self.pos = col["n"][order].astype(np.int64), col["pos"][order].astype(np.int64)
-        self.extra = table.column(extra).to_numpy()[order] if extra else None
         self.starts = np.flatnonzero(np.concatenate([[True], self.token[1:] != self.token[:-1]])) if len(order) else np.zeros(0, dtype=np.int64)
         self.sizes = np.diff(np.concatenate([self.starts, [len(order)]]))
 
+    def hubs(self, at: int, m: int) -> np.ndarray:
+        """Places of the HUBS members of least digest of the bucket that begins at a place and has m members."""
+        digest = B.mix64(self.cls[at : at + m].view(np.uint64))
+        return at + np.argpartition(digest, HUBS)[:HUBS] if m > HUBS else np.arange(at, at + m)
+
     def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Those of the index pairs that pass the filters, as rows (class, doc, class, doc) by class."""
         swap = self.n[a] > self.n[b]
@@ -204,7 +218,7 @@ class _Bucketed:
 
 
 _PAIR = "a long, a_doc long, b long, b_doc long"
-_FOUND = f"{_PAIR}, token long, n int, pos int"
+_FOUND = f"{_PAIR}, token long, n int, pos int, hub boolean"
 
 
 def _distinct(rows: np.ndarray) -> np.ndarray:
@@ -233,63 +247,145 @@ def _candidates(entries: DataFrame, width: int) -> DataFrame:
         large = np.flatnonzero(bucket.sizes > SMALL)
         for k in large.tolist():
             at, m = int(bucket.starts[k]), int(bucket.sizes[k])
-            others = np.arange(at, at + m)
-            hub = at + m // 2
-            found.append(bucket.pairs(np.full(m - 1, hub), others[others != hub]))
+            hubs = bucket.hubs(at, m)
+            a, b = np.repeat(hubs, m), np.tile(np.arange(at, at + m), len(hubs))
+            found.append(bucket.pairs(a[a != b], b[a != b]))
+            if len(found) > 500:
+                found = [_distinct(np.concatenate(found))]
         rows = _distinct(np.concatenate(found))
         blank = pa.nulls(len(rows), pa.int64())
         if len(rows):
-            yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(4)), blank, blank.cast(pa.int32()), blank.cast(pa.int32())], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(4)), blank, blank.cast(pa.int32()), blank.cast(pa.int32()), blank.cast(pa.bool_())], schema=schema)
         for k in large.tolist():
             s = slice(int(bucket.starts[k]), int(bucket.starts[k] + bucket.sizes[k]))
             none = pa.nulls(s.stop - s.start, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.cls[s]), pa.array(bucket.doc[s]), none, none, pa.array(bucket.token[s]), pa.array(bucket.n[s].astype(np.int32)), pa.array(bucket.pos[s].astype(np.int32))], schema=schema)
+            hub = np.zeros(s.stop - s.start, dtype=bool)
+            hub[bucket.hubs(s.start, s.stop - s.start) - s.start] = True
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.cls[s]), pa.array(bucket.doc[s]), none, none, pa.array(bucket.token[s]), pa.array(bucket.n[s].astype(np.int32)), pa.array(bucket.pos[s].astype(np.int32)), pa.array(hub)], schema=schema)
 
     return entries.repartition(width, "token").mapInArrow(run, _FOUND)
 
 
-def _across(members: DataFrame, width: int) -> DataFrame:
-    """Pairs of different components in each large bucket (the hub's pairs were looked at before)."""
-    schema = arrow_schema(_PAIR)
+def _needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without most rows whose doc_id is not in ids: a bit table of fixed size is broadcast, false hits only stay."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS))
+    word, bit = F.shiftright(place, 15), F.pmod(place, F.lit(1 << 15))
+    words = ids.where("doc_id IS NOT NULL").select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    table = np.zeros((1 << (BITS - 15), 1 << 12), dtype=np.uint8)
+    for r in words:
+        table[r["word"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(table.ravel())
+
+    @F.pandas_udf(T.BooleanType())
+    def hit(p: pd.Series) -> pd.Series:
+        at = p.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return docs.where(F.col("doc_id").isNotNull() & hit(place))
+
+
+class _Prefixes:
+    """Whether two sets share a prefix token under every order but the first; prefixes of recent sets are kept."""
+
+    def __init__(self, order: Order):
+        self.order, self.memory = order, {}
+
+    def of(self, cls: int, own: np.ndarray) -> list[np.ndarray]:
+        if cls not in self.memory:
+            if len(self.memory) > 20_000:
+                self.memory.clear()
+            self.memory[cls] = [self.order.prefix(own, k) for k in range(1, ORDERS)]
+        return self.memory[cls]
+
+    def similar(self, a: int, x: np.ndarray, b: int, y: np.ndarray) -> bool:
+        """The filters of the further orders together, then the exact intersection."""
+        if not all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(self.of(a, x), self.of(b, y), strict=True)):
+            return False
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * common >= PERCENT * (len(x) + len(y) - common)
+
+
+def _across(members: DataFrame, docs: DataFrame, order: Order, width: int) -> DataFrame:
+    """(u, v): links between different components that meet in a large bucket (the hubs' pairs were looked at before).
+
+    A bucket is cut into blocks of about BLOCK members, and each pair of blocks is a cell of its own with the sets of its
+    members, so a task holds a bounded number of sets however large the bucket.  A pair whose components were joined by a
+    link that the task has found is not compared."""
+    split = members.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    cells = members.join(split, "token").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "doc_id", "component", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "hub")
+    needed = stored(cells.select("class", "doc_id").distinct(), "needed")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, own in shingle_sets(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in own], type=pa.int64()), pa.array([s.tobytes() for s in own], type=pa.binary())], names=["class", "tokens"])
+
+    known = _needed(docs, needed).select("text").mapInArrow(sets, "class long, tokens binary").join(needed.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+    rows = cells.join(known, "class").select("token", "lo", "hi", "own", "class", "component", "n", "pos", "hub", "tokens")
+    shared = docs.sparkSession.sparkContext.broadcast(order)
+    schema = arrow_schema("u long, v long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        bucket = _Bucketed(pa.Table.from_batches(held), "component")
-        seen = [np.zeros((0, 4), dtype=np.int64)]
-        size = 0
-        for at, m in zip(bucket.starts.tolist(), bucket.sizes.tolist(), strict=True):
-            own = bucket.extra[at : at + m]
-            if (own == own[0]).all():
-                continue
-            n = bucket.n[at : at + m]
+        table = pa.Table.from_batches(held)
+        col = {c: table.column(c).to_numpy() for c in table.column_names if c != "tokens"}
+        bodies = table.column("tokens")
+        filters = _Prefixes(shared.value)
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = parent.get(up, up)
+                c = up
+            return c
+
+        order_ = np.lexsort((col["class"], col["n"], col["hi"], col["lo"], col["token"]))
+        key = np.stack([col["token"], col["lo"], col["hi"]])[:, order_]
+        edges = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0), [True]]))
+        out = []
+        tested: set[tuple[int, int]] = set()
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            at = order_[a:b]
+            at = at[np.concatenate([[True], col["class"][at][1:] != col["class"][at][:-1]])]
+            n, pos, cls, own, hub = (col[c][at] for c in ("n", "pos", "class", "own", "hub"))
+            comp = col["component"][at].tolist()
             ends = np.searchsorted(n, n * 100 // PERCENT, side="right")
-            hub = m // 2
-            for i in range(m):
+            one = col["lo"][at[0]] == col["hi"][at[0]]
+            tokens = [np.frombuffer(x, dtype=np.uint64) for x in bodies.take(pa.array(at)).to_pylist()]
+            for i in np.flatnonzero(~hub).tolist():
                 j = np.arange(i + 1, ends[i])
-                j = j[(own[j] != own[i]) & (j != hub)] if i != hub else j[:0]
-                if len(j):
-                    rows = bucket.pairs(np.full(len(j), at + i), at + j)
-                    seen.append(rows)
-                    size += len(rows)
-            if size > 2_000_000:
-                rows = _distinct(np.concatenate(seen))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[:, c]) for c in range(4)], schema=schema)
-                seen, size = [np.zeros((0, 4), dtype=np.int64)], 0
-        rows = _distinct(np.concatenate(seen))
-        if len(rows):
-            yield pa.RecordBatch.from_arrays([pa.array(rows[:, c]) for c in range(4)], schema=schema)
-
-    return members.repartition(width, "token").mapInArrow(run, _PAIR)
+                if not len(j):
+                    continue
+                j = j[~hub[j] & _passes(n[i], n[j], pos[i], pos[j]) & (one | (own[j] != own[i]))]
+                mine = root(comp[i])
+                for k in j.tolist():
+                    if root(comp[k]) == mine:
+                        continue
+                    pair = (int(cls[i]), int(cls[k]))
+                    if pair in tested:
+                        continue
+                    if filters.similar(pair[0], tokens[i], pair[1], tokens[k]):
+                        out.append(pair)
+                        parent[root(comp[k])] = mine
+                    elif len(tested) < 2_000_000:
+                        tested.add(pair)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], type=pa.int64()) for k in (0, 1)], schema=schema)
+
+    return rows.repartition(width, "token", "lo", "hi").mapInArrow(run, "u long, v long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     """(u, v): classes whose texts share a prefix token under every further order and reach the similarity."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
-    once = pairs.groupBy("a", "b").agg(F.min("a_doc").alias("a_doc"), F.min("b_doc").alias("b_doc"))
-    left = docs.select(F.col("doc_id").alias("a_doc"), F.col("text").alias("a_text"))
-    right = docs.select(F.col("doc_id").alias("b_doc"), F.col("text").alias("b_text"))
+    once = stored(pairs.groupBy("a", "b").agg(F.min("a_doc").alias("a_doc"), F.min("b_doc").alias("b_doc")), "pairs")
+    texts = _needed(docs, once.select(F.explode(F.array("a_doc", "b_doc")).alias("doc_id")))
+    left = texts.select(F.col("doc_id").alias("a_doc"), F.col("text").alias("a_text"))
+    right = texts.select(F.col("doc_id").alias("b_doc"), F.col("text").alias("b_text"))
     rows = once.join(left, "a_doc").join(right, "b_doc").select("a", "b", "a_text", "b_text")
     schema = arrow_schema("u long, v long")
 
@@ -298,25 +394,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
             yield from sets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        orders = shared.value
-        memory: dict[int, list[np.ndarray]] = {}
-
-        def prefixes(cls: int, own: np.ndarray) -> list[np.ndarray]:
-            if cls not in memory:
-                if len(memory) > 20_000:
-                    memory.clear()
-                memory[cls] = [orders.prefix(own, k) for k in range(1, ORDERS)]
-            return memory[cls]
-
+        filters = _Prefixes(shared.value)
         for batch in batches:
             out = []
             for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sets_of(batch, 0, 2), sets_of(batch, 1, 3), strict=True):
                 if not len(x) or not len(y) or class_of(x) != a or class_of(y) != b:
                     continue  # another row of a repeated id
-                if all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(prefixes(a, x), prefixes(b, y), strict=True)):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * common >= PERCENT * (len(x) + len(y) - common):
-                        out.append((a, b))
+                if filters.similar(a, x, b, y):
+                    out.append((a, b))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], type=pa.int64()) for k in (0, 1)], schema=schema)
 
@@ -328,15 +413,15 @@ def similar_classes(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFr
     spark = docs.sparkSession
     order = Order(heavy_tokens(rows))
     keyed = docs.where(F.col("doc_id").isNotNull())
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(MIN_TASKS, shuffle_width(spark))
     found = stored(_candidates(prefix_entries(keyed, order), width), "candidates")
     links = stored(_verified(found.where(F.col("b").isNotNull()).select("a", "a_doc", "b", "b_doc"), keyed, order), "links")
     components = stored(connected_components(links), "components")
-    members = found.where(F.col("b").isNull()).select("token", F.col("a_doc").alias("doc_id"), F.col("a").alias("class"), "n", "pos")
+    members = found.where(F.col("b").isNull()).select("token", F.col("a_doc").alias("doc_id"), F.col("a").alias("class"), "n", "pos", "hub")
     placed = members.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    more = stored(_across(placed, width), "across")
+    more = stored(_across(stored(placed, "members"), keyed, order, width), "across")
     if not more.isEmpty():
-        links = links.unionByName(stored(_verified(more, keyed, order), "links"))
+        links = links.unionByName(more)
         components = stored(connected_components(links), "components")
     return links, components
 
