@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .anchors import GRAM, WINDOW, runs
+from .anchors import GRAM, WINDOW, gram_hashes, runs
 from .shared import arrow_schema, map_batches, shuffle_width, stored, text_column
 from .suffix_sort import adjacent_prefixes, suffix_array
 
@@ -44,6 +44,8 @@ HELD = 1_000_000
 SORTED = 1 << 19
 #: An anchor is crowded if its contexts, at their longest, fill more than one such sort.
 CROWD = SORTED // (2 * WINDOW - GRAM + 1)
+#: Windows of a block of a crowded anchor.
+STEP = 16
 
 _CODES = B.byte_codes(55)
 
@@ -287,18 +289,43 @@ def _sorted_ranges(items: DataFrame) -> DataFrame:
 
 
 def _crowd_ranges(items: DataFrame) -> DataFrame:
-    """Removed ranges of the windows of crowded anchors, by digests of the windows."""
+    """Removed ranges of the windows of crowded anchors, by digests.
+
+    A context's windows are cut into blocks by their offset from the anchor, so equal windows fall into equal blocks.  The
+    bytes that all windows of a block share are its core: a block whose core is nowhere else has no repeated window.  Of
+    the others, blocks that are equal as a whole are settled together, and the windows of one block of each kind are compared
+    one by one.  All groups are aggregates that combine before the shuffle."""
+
+    def cut(batch: pa.RecordBatch):
+        out: list[list] = [[], [], [], [], []]
+        for anchor, own, lo, raw in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            n = len(raw) - WINDOW + 1
+            place = int(np.argmax(gram_hashes(np.frombuffer(raw, dtype=np.uint8)).view(np.int64) == anchor))
+            for j in range((place - n + 1) // STEP, place // STEP + 1):
+                s0, s1 = max(0, place - STEP * j - STEP + 1), min(n - 1, place - STEP * j)
+                at = place - STEP * j
+                core = hashlib.blake2b(raw[at : at + WINDOW - STEP + 1], digest_size=16, salt=j.to_bytes(2, "big")).digest()
+                body = raw[s0 : s1 + WINDOW]
+                whole = hashlib.blake2b(body, digest_size=16, salt=(place - s0).to_bytes(2, "big")).digest()
+                for col, x in zip(out, (core, whole, own, lo + s0, body), strict=True):
+                    col.append(x)
+        yield dict(zip(("core", "whole", "owner", "lo", "body"), out, strict=True))
 
     def windows(batch: pa.RecordBatch):
-        for own, lo, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
+        for own, lo, raw in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             n = len(raw) - WINDOW + 1
-            digests = [hashlib.blake2b(raw[k : k + WINDOW], digest_size=16).digest() for k in range(n)]
-            yield {"w": digests, "owner": np.full(n, own), "lo": np.arange(lo, lo + n)}
+            yield {"w": [hashlib.blake2b(raw[k : k + WINDOW], digest_size=16).digest() for k in range(n)], "owner": np.full(n, own), "lo": np.arange(lo, lo + n)}
 
-    rows = map_batches(items.select("anchor", "owner", "lo", "crowd", "bytes"), windows, "w binary, owner long, lo long")
     place = F.struct("owner", "lo")
-    many = rows.groupBy("w").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("w")
-    return rows.join(many, "w", "left_semi").select("owner", "lo", (F.col("lo") + WINDOW).alias("hi"))
+    differ = (F.min(place).alias("p"), F.max(place).alias("q"))
+    blocks = stored(map_batches(items.select("anchor", "owner", "lo", "bytes"), cut, "core binary, whole binary, owner long, lo long, body binary"), "blocks")
+    shared = blocks.join(blocks.groupBy("core").agg(*differ).where("p <> q").select("core"), "core", "left_semi")
+    kinds = stored(shared.groupBy("whole").agg(*differ, F.min_by("body", place).alias("body")), "kinds")
+    settled = blocks.join(kinds.where("p <> q").select("whole"), "whole", "left_semi").select("owner", "lo", (F.col("lo") + F.length("body")).alias("hi"))
+    rows = stored(map_batches(kinds.select("p.owner", "p.lo", "body"), windows, "w binary, owner long, lo long"), "windows")
+    many = rows.groupBy("w").agg(*differ).where("p <> q").select("w")
+    single = rows.join(many, "w", "left_semi").select("owner", "lo", (F.col("lo") + WINDOW).alias("hi"))
+    return settled.unionByName(single)
 
 
 def removed_ranges(docs: DataFrame) -> DataFrame:
