@@ -1,6 +1,6 @@
 """Queries of the engine over the test tables."""
 
-from . import aggregates, evidence, joins, rules, views
+from . import aggregates, evidence, extraction, joins, rules, views
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregates", "evidence", "joins", "rules", "views"]
+__all__ = ["QUERIES", "SQL", "aggregates", "evidence", "extraction", "joins", "rules", "views"]
