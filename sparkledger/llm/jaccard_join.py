@@ -323,7 +323,7 @@ def _across(members: DataFrame, docs: DataFrame, order: Order, width: int) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in own], type=pa.int64()), pa.array([s.tobytes() for s in own], type=pa.binary())], names=["class", "tokens"])
 
     known = _needed(docs, needed).select("text").mapInArrow(sets, "class long, tokens binary").join(needed.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
-    rows = cells.join(known, "class").select("token", "lo", "hi", "own", "class", "component", "n", "pos", "hub", "tokens")
+    rows = cells.hint("merge").join(known, "class").select("token", "lo", "hi", "own", "class", "component", "n", "pos", "hub", "tokens")
     shared = docs.sparkSession.sparkContext.broadcast(order)
     schema = arrow_schema("u long, v long")
 
@@ -386,7 +386,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     texts = _needed(docs, once.select(F.explode(F.array("a_doc", "b_doc")).alias("doc_id")))
     left = texts.select(F.col("doc_id").alias("a_doc"), F.col("text").alias("a_text"))
     right = texts.select(F.col("doc_id").alias("b_doc"), F.col("text").alias("b_text"))
-    rows = once.join(left, "a_doc").join(right, "b_doc").select("a", "b", "a_text", "b_text")
+    # one plan at every size: few pairs would else be broadcast, and the texts shuffled only beyond that
+    rows = once.hint("merge").join(left, "a_doc").hint("merge").join(right, "b_doc").select("a", "b", "a_text", "b_text")
     schema = arrow_schema("u long, v long")
 
     def sets_of(batch: pa.RecordBatch, cls: int, text: int) -> Iterator[np.ndarray]:
