@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import rules as R
 
 
-def read_folder(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "json", files_per_batch: int = 1000) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(fmt).load(path)
+def read_folder(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "json", files_per_batch: int = 1000, pattern: str = "*") -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern).format(fmt).load(path)
 
 
 def validated(stream: DataFrame, rules: list[dict]) -> DataFrame:
