@@ -39,7 +39,11 @@ class Validator:
 
     def validate(self, records: DataFrame) -> DataFrame:
         """records (raw JSON text and VARIANT record) with typed columns, issues and valid."""
-        typed = records.withColumn("_t", F.from_json("raw", self.schema)).select("*", "_t.*").drop("_t")
+        groups = []
+        for g in self.schema:
+            cells = [F.try_variant_get("record", f"$['{g.name}']['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in g.dataType]
+            groups.append(F.struct(*cells).alias(g.name))
+        typed = records.select("*", *groups)
         return typed.withColumn("issues", self.issues(F.col("record"), typed)).withColumn("valid", V.valid("issues"))
 
 

@@ -35,7 +35,10 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
     """(record VARIANT, _file, _ord): a file may be one object, an array of objects, or JSON lines."""
     whole = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^\\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("_file"))
     parsed = whole.withColumn("v", F.try_parse_json("value"))
-    parts = F.when(F.schema_of_variant("v").startswith("ARRAY"), F.expr("cast(v AS array<variant>)")).when(F.col("v").isNotNull(), F.array("v")).otherwise(F.transform(F.filter(F.split("value", "\n"), lambda x: F.trim(x) != ""), lambda x: F.try_parse_json(x)))
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    # JSON lines: every line is a value of its own (the parser stops after the first)
+    each = (F.size(lines) > 1) & F.forall(lines, lambda x: F.try_parse_json(x).isNotNull() & F.trim(x).startswith("{"))
+    parts = F.when(each, F.transform(lines, lambda x: F.try_parse_json(x))).when(F.schema_of_variant("v").startswith("ARRAY"), F.expr("cast(v AS array<variant>)")).otherwise(F.array("v"))
     return parsed.select("_file", F.posexplode(parts).alias("_ord", "record"))
 
 
