@@ -1,6 +1,6 @@
 """Queries of the engine over the test tables."""
 
-from . import aggregates, evidence, extraction, joins, rules, streams, views
+from . import aggregates, evidence, extraction, joins, reports, rules, streams, views
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregates", "evidence", "extraction", "joins", "rules", "streams", "views"]
+__all__ = ["QUERIES", "SQL", "aggregates", "evidence", "extraction", "joins", "reports", "rules", "streams", "views"]
