@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .shared import map_batches, text_column
+from .shared import map_batches, release_memory, text_column
 
 BITS = 16
 ORDERS = (1, 2, 3)
@@ -34,6 +34,8 @@ SAMPLE_ROWS = 4_000
 MIN_DOCS = 2
 FOLDS = 5
 UNKNOWN = "und"
+#: Text bytes that a task looks at together.
+SLICE_BYTES = 1 << 18
 
 
 @dataclasses.dataclass
@@ -78,7 +80,7 @@ def _row_slots(points: np.ndarray) -> np.ndarray:
 def _in_slices(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     column = batch.column(at)
     _, offsets = B.utf8_buffers(column)
-    for lo, hi in B.row_slices(offsets):
+    for lo, hi in B.row_slices(offsets, SLICE_BYTES):
         yield lo, hi, *_points(column.slice(lo, hi - lo))
 
 
@@ -109,6 +111,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
                     seen += flag
                     flag[:] = False
                 total += hi - lo
+        release_memory()
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(range(size // block)) + [-1], type=pa.int32()), pa.array([*seen.reshape(-1, block).tolist(), [total]], type=pa.list_(pa.int64()))], names=["block", "counts"])
 
@@ -147,7 +150,14 @@ def _sample(docs: DataFrame, idf: np.ndarray, sample_rows: int, languages: list[
 
     plain = docs.select(F.col(id_col).alias("id"), text_col, label_col)
     rows = map_batches(plain, vectors, "id long, label int, slots array<int>, values array<double>").dropDuplicates(["id"])
-    return [(r["label"], np.array(r["slots"], dtype=np.int64), np.array(r["values"])) for r in sorted(rows.collect(), key=lambda r: r["id"])]
+    table = rows.toArrow().sort_by("id").combine_chunks()
+    label = table.column("label").to_numpy()
+    parts = []
+    for name in ("slots", "values"):
+        column = table.column(name).combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        parts.append(np.split(column.flatten().to_numpy(), np.cumsum(np.diff(column.offsets.to_numpy()))[:-1]) if len(column) else [])
+    return [(int(k), s.astype(np.int64), v) for k, s, v in zip(label, *parts, strict=True)]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -256,7 +266,7 @@ def predict(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", tex
     def run(batch: pa.RecordBatch):
         column = batch.column(2)
         _, offsets = B.utf8_buffers(column)
-        for lo, hi in B.row_slices(offsets):
+        for lo, hi in B.row_slices(offsets, SLICE_BYTES):
             language, score = _predict_batch(shared.value, column.slice(lo, hi - lo))
             yield {"id": batch.column(0).slice(lo, hi - lo), "held_out": batch.column(1).slice(lo, hi - lo), "lang_pred": language, "score": score}
 
@@ -272,10 +282,11 @@ def recognised(docs: DataFrame, model: Model | None, *, min_score: float = 0.5,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = B.utf8_buffers(batch.column(place))
-            for lo, hi in B.row_slices(offsets):
+            for lo, hi in B.row_slices(offsets, SLICE_BYTES):
                 language, score = _predict_batch(shared.value, batch.column(place).slice(lo, hi - lo))
                 keep = [x != UNKNOWN and s >= min_score for x, s in zip(language, score.tolist(), strict=True)]
                 yield batch.slice(lo, hi - lo).filter(pa.array(keep, type=pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
 
