@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from . import bytetext as B
 from .components import connected_components
-from .shared import arrow_schema, shuffle_width, stored, text_column
+from .shared import arrow_schema, map_arrow, shuffle_width, stored, text_column
 
 SHINGLE = 5
 PERCENT = 80
@@ -112,7 +112,7 @@ def profiles(docs: DataFrame) -> DataFrame:
         if held:
             yield counted(held)
 
-    return docs.mapInArrow(run, ddl)
+    return map_arrow(docs, run, ddl)
 
 
 def heavy_tokens(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +178,7 @@ def prefix_entries(docs: DataFrame, order: Order) -> DataFrame:
                 if cols[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return docs.mapInArrow(run, _ENTRY)
+    return map_arrow(docs, run, _ENTRY)
 
 
 def _passes(na, nb, pa_, pb) -> np.ndarray:
@@ -263,7 +263,7 @@ def _candidates(entries: DataFrame, width: int) -> DataFrame:
             hub[bucket.hubs(s.start, s.stop - s.start) - s.start] = True
             yield pa.RecordBatch.from_arrays([pa.array(bucket.cls[s]), pa.array(bucket.doc[s]), none, none, pa.array(bucket.token[s]), pa.array(bucket.n[s].astype(np.int32)), pa.array(bucket.pos[s].astype(np.int32)), pa.array(hub)], schema=schema)
 
-    return entries.repartition(width, "token").mapInArrow(run, _FOUND)
+    return map_arrow(entries.repartition(width, "token"), run, _FOUND)
 
 
 def _needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -322,7 +322,7 @@ def _across(members: DataFrame, docs: DataFrame, order: Order, width: int) -> Da
             for _, own in shingle_sets(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in own], type=pa.int64()), pa.array([s.tobytes() for s in own], type=pa.binary())], names=["class", "tokens"])
 
-    known = _needed(docs, needed).select("text").mapInArrow(sets, "class long, tokens binary").join(needed.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+    known = map_arrow(_needed(docs, needed).select("text"), sets, "class long, tokens binary").join(needed.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
     rows = cells.hint("merge").join(known, "class").select("token", "lo", "hi", "own", "class", "component", "n", "pos", "hub", "tokens")
     shared = docs.sparkSession.sparkContext.broadcast(order)
     schema = arrow_schema("u long, v long")
@@ -376,7 +376,7 @@ def _across(members: DataFrame, docs: DataFrame, order: Order, width: int) -> Da
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], type=pa.int64()) for k in (0, 1)], schema=schema)
 
-    return rows.repartition(width, "token", "lo", "hi").mapInArrow(run, "u long, v long")
+    return map_arrow(rows.repartition(width, "token", "lo", "hi"), run, "u long, v long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
@@ -406,7 +406,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], type=pa.int64()) for k in (0, 1)], schema=schema)
 
-    return rows.mapInArrow(run, "u long, v long")
+    return map_arrow(rows, run, "u long, v long")
 
 
 def similar_classes(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:

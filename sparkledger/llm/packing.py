@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .shared import arrow_schema, map_batches, stored, text_column
+from .shared import arrow_schema, map_arrow, map_batches, stored, text_column
 from .token_units import UnitEncoder
 
 GROUP_ROWS = 16_384
@@ -137,7 +137,7 @@ def _round(rows: DataFrame, groups: int, turn: int, capacity: int, last: bool) -
                 yield pack_group(table.filter(pa.array(group == g)), g)
 
     keyed = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "crc", F.lit(turn)), F.lit(groups)))
-    return keyed.repartition(groups, "grp").mapInArrow(run, ddl)
+    return map_arrow(keyed.repartition(groups, "grp"), run, ddl)
 
 
 def pack(pieces: DataFrame, *, seq_len: int = 1024, group_rows: int = GROUP_ROWS) -> DataFrame:
