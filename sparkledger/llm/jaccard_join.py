@@ -14,8 +14,10 @@ order of tokens, so:
 3. Candidates must also share a prefix token under every other order; the intersection of these filters goes to
    verification, an exact intersection of the two sets, computed from the texts.
 4. Links are contracted to components.  Where a large bucket still holds several components, its pairs across components
-   are candidates of a second turn, so every link between different components is found: the components are exact,
-   although links inside a component are not all listed.
+   are candidates of a second turn, so every link between different components is found and the components are exact.
+5. A link never leaves a component, so all links are found by verifying every pair of classes inside each component that
+   passes the length filter: a component is cut into blocks, and each pair of blocks is a cell with the sets of its members.
+   ``links_of_documents`` counts them; ``class_links`` lists them.  Components alone need no such turn.
 
 Defined cases: a text without words (or null) has an empty set and links with nothing; a row with a null id has its set
 counted but no component; repeated rows and repeated ids are rows of their own (a component is a property of the text);
@@ -44,6 +46,9 @@ SMALL = 32
 HUBS = 4
 #: Members of a large bucket that one task compares with as many others in the second turn.
 BLOCK = 2_000
+#: Classes and tokens of one block of a component, when all of its links are looked for.
+LINK_BLOCK = 256
+LINK_TOKENS = 500_000
 #: Bits of the table by which texts that no pair needs are left out of a shuffle.
 BITS = 22
 #: Buckets are dealt to at least so many tasks.
@@ -305,6 +310,17 @@ class _Prefixes:
         return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
 
+def _class_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(class, tokens): the sets of the classes of needed (class, doc_id)."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, own in shingle_sets(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in own], type=pa.int64()), pa.array([s.tobytes() for s in own], type=pa.binary())], names=["class", "tokens"])
+
+    return map_arrow(_needed(docs, needed).select("text"), sets, "class long, tokens binary").join(needed.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+
+
 def _across(members: DataFrame, docs: DataFrame, order: Order, width: int) -> DataFrame:
     """(u, v): links between different components that meet in a large bucket (the hubs' pairs were looked at before).
 
@@ -315,14 +331,7 @@ def _across(members: DataFrame, docs: DataFrame, order: Order, width: int) -> Da
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     cells = members.join(split, "token").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "doc_id", "component", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "hub")
-    needed = stored(cells.select("class", "doc_id").distinct(), "needed")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, own in shingle_sets(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in own], type=pa.int64()), pa.array([s.tobytes() for s in own], type=pa.binary())], names=["class", "tokens"])
-
-    known = map_arrow(_needed(docs, needed).select("text"), sets, "class long, tokens binary").join(needed.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"])
+    known = _class_sets(docs, stored(cells.select("class", "doc_id").distinct(), "needed"))
     rows = cells.hint("merge").join(known, "class").select("token", "lo", "hi", "own", "class", "component", "n", "pos", "hub", "tokens")
     shared = docs.sparkSession.sparkContext.broadcast(order)
     schema = arrow_schema("u long, v long")
@@ -409,8 +418,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
     return map_arrow(rows, run, "u long, v long")
 
 
-def similar_classes(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links, components) between classes, for docs (doc_id, text) and their stored profiles."""
+def similar_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, component) of the classes that links reach, for docs (doc_id, text) and their stored profiles."""
     spark = docs.sparkSession
     order = Order(heavy_tokens(rows))
     keyed = docs.where(F.col("doc_id").isNotNull())
@@ -422,23 +431,130 @@ def similar_classes(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFr
     placed = members.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     more = stored(_across(stored(placed, "members"), keyed, order, width), "across")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        components = stored(connected_components(links), "components")
-    return links, components
+        components = stored(connected_components(links.unionByName(more)), "components")
+    return components
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """A bit for each set (rows) and each token that two or more of the sets hold: common tokens are common bits."""
+    flat = np.concatenate(sets)
+    _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    keep = count[code] > 1
+    row, code = row[keep], shared[code[keep]]
+    width = (int(shared[-1]) + 64) // 64
+    bits = np.zeros((len(sets), max(1, width)), dtype=np.uint64)
+    # tokens of a set come in the order of their codes, so those of one word follow each other
+    at = row * bits.shape[1] + (code >> 6)
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, dtype=np.int64)
+    if len(at):
+        bits.ravel()[at[first]] = np.bitwise_or.reduceat(np.uint64(1) << (code & 63).astype(np.uint64), first)
+    return bits
+
+
+def _cell_links(n: np.ndarray, left: np.ndarray, right: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, places linked with i): all links of a cell, members by length; left is right in a cell of one block."""
+    bits = _common(sets)
+    one = left is right
+    sizes = n[right]
+    for k, i in enumerate(left.tolist()):
+        lo = k + 1 if one else int(np.searchsorted(sizes, -(-PERCENT * n[i] // 100), side="left"))
+        hi = int(np.searchsorted(sizes, n[i] * 100 // PERCENT, side="right"))
+        if lo >= hi:
+            continue
+        j = right[lo:hi]
+        common = np.bitwise_count(bits[j] & bits[i]).sum(axis=1, dtype=np.int64)
+        j = j[100 * common >= PERCENT * (n[i] + n[j] - common)]
+        if len(j):
+            yield i, j
+
+
+def _within(classes: DataFrame, components: DataFrame, docs: DataFrame, width: int, listed: bool) -> DataFrame:
+    """All links between different classes, for classes (class, least, n, copies): pairs (u, v) if listed, else (class,
+    links) with the rows that each class links with, in parts to be summed."""
+    members = stored(classes.join(components.withColumnRenamed("node", "class"), "class"), "members")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / LINK_BLOCK), F.ceil(F.sum("n") / LINK_TOKENS)).cast("int")
+    split = members.groupBy("component").agg(parts.alias("blocks")).where("blocks > 1")
+    placed = stored(members.join(split, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))), "placed")
+    known = _class_sets(docs, placed.select("class", F.col("least").alias("doc_id")))
+    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    cells = placed.hint("merge").join(known, "class").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "n", "copies", "tokens")
+    ddl = "u long, v long" if listed else "class long, links long"
+    schema = arrow_schema(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        col = {c: table.column(c).to_numpy() for c in table.column_names if c != "tokens"}
+        bodies = table.column("tokens")
+        order = np.lexsort((col["class"], col["n"], col["hi"], col["lo"], col["component"]))
+        key = np.stack([col["component"], col["lo"], col["hi"]])[:, order]
+        edges = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0), [True]]))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            at = order[a:b]
+            n, cls, copies, own, lo, hi = (col[c][at] for c in ("n", "class", "copies", "own", "lo", "hi"))
+            left = right = np.arange(b - a)
+            if lo[0] != hi[0]:
+                left, right = np.flatnonzero(own == lo[0]), np.flatnonzero(own == hi[0])
+            if not len(left) or not len(right) or b - a < 2:
+                continue
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in bodies.take(pa.array(at)).to_pylist()]
+            links = np.zeros(b - a, dtype=np.int64)
+            for i, j in _cell_links(n, left, right, sets):
+                if listed:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cls[i], cls[j])), pa.array(np.maximum(cls[i], cls[j]))], schema=schema)
+                else:
+                    links[i] += copies[j].sum()
+                    links[j] += copies[i]
+            if (some := np.flatnonzero(links)).size:
+                yield pa.RecordBatch.from_arrays([pa.array(cls[some]), pa.array(links[some])], schema=schema)
+
+    return map_arrow(cells.repartition(width, "component", "lo", "hi"), run, ddl)
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """(class, least, n, copies): each class's least id, set size and number of rows with an id."""
+    return rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+
+
+def class_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(u, v): every link between two different classes, once, u < v; copies of one class are not listed."""
+    plain = text_column(docs, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = stored(profiles(plain), "profiles")
+    keyed = plain.where(F.col("doc_id").isNotNull())
+    return _within(_classes(rows), similar_classes(plain, rows), keyed, max(MIN_TASKS, shuffle_width(docs.sparkSession)), True)
 
 
 def component_of_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: component_id is the least id among all rows that links reach."""
+    return _of_documents(docs, id_col, text_col, False)
+
+
+def links_of_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """component_of_documents with n_links: the number of other rows with an id that each row with an id links with."""
+    return _of_documents(docs, id_col, text_col, True)
+
+
+def _of_documents(docs: DataFrame, id_col: str, text_col: str, counted: bool) -> DataFrame:
     plain = text_column(docs, text_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(profiles(plain), "profiles")
-    _, components = similar_classes(plain, rows)
+    components = similar_classes(plain, rows)
     own = rows.where("n >= 0")
-    classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
+    classes = _classes(rows)
     labelled = classes.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    final = labelled.join(least, "component").select("class", "component_id")
-    joined = own.join(final, "class", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"))
+    final = labelled.join(least, "component").select("class", "component_id", "copies")
+    out = ["doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id")]
+    if counted:
+        keyed = plain.where(F.col("doc_id").isNotNull())
+        links = stored(_within(classes, components, keyed, max(MIN_TASKS, shuffle_width(docs.sparkSession)), False), "links")
+        final = final.join(links.groupBy("class").agg(F.sum("links").alias("links")), "class", "left")
+        out.append(F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0)).alias("n_links"))
+    return own.join(final, "class", "left").select(*out)
 
 
 def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ from .token_counts import count_tokens
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.component_of_documents(table(spark, sf_dir, "documents"))
+    return jaccard_join.links_of_documents(table(spark, sf_dir, "documents"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

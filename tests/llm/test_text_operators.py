@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import json
+import random
 import re
 import zlib
 
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 from sparkledger.llm import decontamination, jaccard_join, language_id, licenses, packing, secrets, substring_dedup, token_counts
 from sparkledger.llm.license_texts import TEMPLATES
 
-from .fixtures import DOC_SCHEMA, documents, frame, with_extra
+from .fixtures import DOC_SCHEMA, documents, frame, with_extra, words
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -51,6 +52,25 @@ def test_jaccard_join_of_large_buckets(spark, monkeypatch):
     test_jaccard_join_against_all_pairs(spark)
 
 
+def test_jaccard_join_lists_and_counts_every_link(spark, monkeypatch):
+    rng = random.Random(5)
+    base = words(rng, 150)
+    rows = [(i, " ".join([*base[:i], "z" * (i + 2), *base[i + 1 : 150 - i % 7]]), None, None, None) for i in range(90)]
+    rows += [(1000 + i, rows[i % 3][1], None, None, None) for i in range(5)] + [(None, rows[0][1], None, None, None)] + documents()
+    sets = [shingles(r[1]) for r in rows]
+    want, pairs = [], set()
+    for i, a in enumerate(sets):
+        near = [j for j, b in enumerate(sets) if j != i and rows[j][0] is not None and a and b and 100 * len(a & b) >= 80 * len(a | b)]
+        want.append((rows[i][0], len(a), None if rows[i][0] is None else len(near)))
+        pairs.update(frozenset((a, sets[j])) for j in near if rows[i][0] is not None and sets[j] != a)
+    for block in (jaccard_join.LINK_BLOCK, 7):
+        monkeypatch.setattr(jaccard_join, "LINK_BLOCK", block)
+        got = jaccard_join.links_of_documents(with_extra(frame(spark, rows)).repartition(5))
+        assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got.collect()), key=str) == sorted(want, key=str)
+        listed = [tuple(r) for r in jaccard_join.class_links(frame(spark, rows)).collect()]
+        assert len(listed) == len(set(listed)) == len(pairs) and all(u < v for u, v in listed)
+
+
 def test_decontamination_against_plain_scan(spark):
     docs = documents()
     base = docs[0][1].split()
