@@ -23,6 +23,17 @@ def relation_coding(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", found.alias("m")).select("doc_id", "m.status", "m.code", "m.cue")
 
 
+_ALL = lambda cue: _HAS(cue).replace(_CTX, "text")
+_ALL_NEG = _NEG.replace(_CTX, "text")
+
+
+@query("relation_coding_whole", f"WITH m AS (SELECT doc_id, {_ALL('this')} AS a, {_ALL('with')} AS b, {_ALL('of')} AS c, {_ALL_NEG} AS n FROM documents) SELECT doc_id, CASE WHEN NOT coalesce(a OR b OR c, false) THEN 'no_cue' WHEN n THEN 'negated' WHEN a AND b THEN 'ambiguous' ELSE 'coded' END AS status, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'points' WHEN b OR c THEN 'joins' END AS code, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'this' WHEN b THEN 'with' WHEN c THEN 'of' END AS cue FROM m")
+def relation_coding_whole(t: Tables) -> DataFrame:
+    """relation_coding over whole texts (its own SQL keeps to their first 200 characters)."""
+    found = X.predicate_match(F.col("text"), {"points": ["this"], "joins": ["with", "of"]}, negations=["was"])
+    return t.documents.select("doc_id", found.alias("m")).select("doc_id", "m.status", "m.code", "m.cue")
+
+
 @query("relation_context", "WITH p AS (SELECT doc_id, text, instr(lower(text), 'the') AS a, instr(lower(text), ' of') AS b FROM documents) SELECT doc_id, substr(text, least(a + 3, b + 3)::INT, (greatest(a, b) - least(a + 3, b + 3))::INT) AS context FROM p WHERE a > 0 AND b > 0 AND greatest(a, b) >= least(a + 3, b + 3)")
 def relation_context(t: Tables) -> DataFrame:
     """The text between two anchored ends."""
