@@ -6,7 +6,8 @@ words of every hit with the window's words, so a hash collision reports nothing.
 
 The set is broadcast only in blocks whose size is checked: items are counted first, and they are dealt into blocks of at
 most ``block_windows`` windows (about 150 bytes each).  One block is the usual case; with more, each block is scanned by a
-pass of its own and the hits of a document are merged by its key, so the result is the same at any benchmark size.
+pass of its own and the hits of each row are merged by a key of the row's own, so the result is the same at any benchmark
+size, for repeated and null ids too.
 
 Defined cases: a null text has no words; an item without words has no window; repeated items count once for each item id;
 rows with a null item id count like any other (shown as an empty string); repeated documents give repeated rows; documents
@@ -29,6 +30,8 @@ from .shared import map_batches, stored, text_column
 
 N = 13
 BLOCK_WINDOWS = 200_000
+#: The column by which rows meet their hits when there are several blocks.
+ROW = "__decontamination_row"
 
 WORD = B.lut(allowed=bytes([*range(48, 58), *range(97, 123), *range(65, 91), *range(128, 256)]))
 _FOLD = B.fold_ascii()
@@ -141,18 +144,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = N, id_col:
     hit_words = F.coalesce(F.aggregate(F.transform("runs", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0))
     if blocks == 1:
         return _scan(plain, [tuple(r) for r in windows.select("item", "size", "window").collect()]).withColumn("n_hit", hit_words)
-    # Many blocks: every document's row is keyed by its place in one stored scan, then the blocks' hits are merged.
-    keyed = stored(plain.withColumn("row", F.monotonically_increasing_id()), "documents")
+    keyed = stored(plain.withColumn(ROW, F.monotonically_increasing_id()), "documents")
+    merged = _merged(keyed, windows, blocks, text_col).withColumn("n_hit", hit_words)
+    return keyed.select(ROW, "doc_id").join(merged, ROW).drop(ROW)
+
+
+def _union(runs: list[int]) -> list[int]:
+    """Flat runs in any order as ascending runs that neither overlap nor touch."""
+    out: list[int] = []
+    for a, b in sorted(zip(runs[::2], runs[1::2], strict=True)):
+        if out and a <= out[-1]:
+            out[-1] = max(out[-1], b)
+        else:
+            out += [a, b]
+    return out
+
+
+def _merged(keyed: DataFrame, windows: DataFrame, blocks: int, text_col: str) -> DataFrame:
+    """(ROW, n_words, runs, items) of every row of a stored table with a key, from one pass for each block of windows."""
     dealt = windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
     parts = None
     for k in range(blocks):
         rows = [tuple(r) for r in dealt.where(F.col("block") == k).select("item", "size", "window").collect()]
-        part = _scan(keyed.select(F.col("row").alias("doc_id"), text_col), rows)
+        part = _scan(keyed.select(F.col(ROW).alias("doc_id"), text_col), rows)
         parts = part if parts is None else parts.unionByName(part)
-    merged = parts.groupBy(F.col("doc_id").alias("row")).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    hit = F.array_sort(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1), lambda i: F.sequence(F.get("runs", i * 2), F.get("runs", i * 2 + 1) - 1)))))
-    merged = merged.withColumn("n_hit", F.when(F.size("runs") == 0, 0).otherwise(F.size(hit)).cast("long"))
-    return keyed.select("row", "doc_id").join(merged, "row").drop("row")
+    merged = parts.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+    def unite(batch: pa.RecordBatch) -> Iterator[dict]:
+        yield {ROW: batch.column(0), "n_words": batch.column(1), "runs": [_union(r) for r in batch.column(2).to_pylist()], "items": batch.column(3)}
+
+    return map_batches(merged, unite, f"{ROW} long, n_words long, runs array<long>, items array<string>")
 
 
 def report(found: DataFrame, *, share: int = 20) -> DataFrame:
@@ -172,16 +193,16 @@ def remove_spans(text: str, runs: list[int]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def cleaned(docs: DataFrame, benchmark: DataFrame, *, n: int = N, share: int = 20, spans: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cleaned(docs: DataFrame, benchmark: DataFrame, *, n: int = N, share: int = 20, spans: bool = False, id_col: str = "doc_id", text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """docs without contaminated documents or, with ``spans``, with the hit words of these taken out.  All columns stay.
 
-    The scan is a map over the documents, so nothing is joined back: flags and texts leave the same task."""
+    Each row is judged by its own text, whatever its id.  With one block of windows the scan is a map over the documents, so
+    nothing is joined back: flags and texts leave the same task."""
     spark = docs.sparkSession
     windows = stored(item_windows(benchmark, n=n), "windows")
-    if windows.count() > BLOCK_WINDOWS:
-        found = contamination(docs, benchmark, n=n, id_col=id_col, text_col=text_col)
-        bad = report(found, share=share).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-        return docs.join(bad, docs[id_col] == bad["bad_id"], "left_anti")
+    blocks = max(1, math.ceil(windows.count() / block_windows))
+    if blocks > 1:
+        return _cleaned_by_blocks(docs, windows, blocks, share, spans, text_col)
     shared = spark.sparkContext.broadcast([tuple(r) for r in windows.select("item", "size", "window").collect()])
     place = docs.columns.index(text_col)
     held: dict[str, _Index] = {}
@@ -208,5 +229,25 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, *, n: int = N, share: int = 2
     return docs.mapInArrow(run, docs.schema)
 
 
+def _cleaned_by_blocks(docs: DataFrame, windows: DataFrame, blocks: int, share: int, spans: bool, text_col: str) -> DataFrame:
+    keyed = stored(text_column(docs, text_col).withColumn(ROW, F.monotonically_increasing_id()), "documents")
+    hit = F.aggregate(F.transform("runs", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
+    bad = stored(_merged(keyed, windows, blocks, text_col).where((hit > 0) & (hit * share >= F.col("n_words"))).select(ROW, "runs"), "contaminated")
+    if not spans:
+        return keyed.join(bad.select(ROW), ROW, "left_anti").select(*docs.columns)
+    place = docs.columns.index(text_col)
+    runs = f"{ROW}_runs"
+    schema = keyed.drop(ROW).schema
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(batch.num_columns - 1).to_pylist()
+            texts = [remove_spans(t, r) if r is not None else t for t, r in zip(batch.column(place).to_pylist(), own, strict=True)]
+            field = batch.schema.field(place)
+            yield batch.set_column(place, field, pa.array(texts, type=field.type)).select(list(range(batch.num_columns - 1)))
+
+    return keyed.join(bad.withColumnRenamed("runs", runs), ROW, "left").select(*docs.columns, runs).mapInArrow(cut, schema)
+
+
 def items_digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -103,6 +103,27 @@ def test_decontamination_against_plain_scan(spark):
     assert decontamination.contamination(frame(spark), bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_decontamination_by_blocks_judges_rows(spark):
+    rng = random.Random(9)
+    leak, clean = words(rng, 60), words(rng, 80)
+    texts = {
+        None: [" ".join(leak), " ".join(clean), None],
+        "a": [" ".join([*leak[:40], *clean]), " ".join(clean[:50])],
+        "b": ["A, " + "; ".join(leak[:25]) + " -- " + " ".join(clean[:30]), " ".join(clean[:50])],
+    }
+    docs = spark.createDataFrame([(k, t) for k, own in texts.items() for t in own], "doc_id string, text string")
+    bench = spark.createDataFrame([(1, " ".join(leak)), (2, " ".join(leak[5:50]))], "item_id long, text string")
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    for spans in (False, True):
+        one = decontamination.cleaned(docs, bench, spans=spans)
+        many = decontamination.cleaned(docs, bench, spans=spans, block_windows=5)
+        assert many.columns == docs.columns and rows(many) == rows(one)
+    assert rows(decontamination.cleaned(docs, bench, block_windows=5)) == sorted([(None, " ".join(clean)), (None, None), ("a", " ".join(clean[:50])), ("b", " ".join(clean[:50]))], key=str)
+    numbered = docs.withColumn("doc_id", docs.text.isNull().cast("long"))
+    found = [decontamination.contamination(numbered, bench, block_windows=k) for k in (10_000, 5)]
+    assert rows(found[0]) == rows(found[1].select(found[0].columns))
+
+
 def test_substring_dedup_against_window_table(spark, monkeypatch):
     rows = documents()
     for crowd in (substring_dedup.CROWD, 2):
