@@ -46,6 +46,8 @@ SMALL = 32
 HUBS = 4
 #: Members of a large bucket that one task compares with as many others in the second turn.
 BLOCK = 2_000
+#: The column of a row's own key where ids are repeated or missing.
+ROW = "__jaccard_row"
 #: Classes and tokens of one block of a component, when all of its links are looked for.
 LINK_BLOCK = 256
 LINK_TOKENS = 500_000
@@ -558,12 +560,24 @@ def _of_documents(docs: DataFrame, id_col: str, text_col: str, counted: bool) ->
 
 
 def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the least id of each component kept; rows without an id stay, equal rows of one id become one."""
+    """docs with one row of each component kept, that of the least id (rows without an id come last; then the least digest
+    of the text).  Rows without words are components of their own, but equal ones of one id become one."""
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).groupBy("doc_id").count()
+    if not ids.where("count > 1 OR doc_id IS NULL").isEmpty():
+        return _one_row_of_each_group(docs, id_col, text_col)
     found = stored(component_of_documents(docs, id_col=id_col, text_col=text_col), "components")
-    dropped = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("dropped_id")).distinct()
-    rest = docs.join(dropped, F.col(id_col).cast("long") == F.col("dropped_id"), "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("repeated_id"))
-    if repeated.isEmpty():
-        return rest
-    again = F.col(id_col).cast("long") == F.col("repeated_id")
-    return rest.join(repeated, again, "left_anti").unionByName(rest.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col]))
+    dropped = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("dropped_id"))
+    return docs.join(dropped, F.col(id_col).cast("long") == F.col("dropped_id"), "left_anti")
+
+
+def _one_row_of_each_group(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """one_of_each_group where ids are repeated or missing: the join runs on a key of each row's own."""
+    keyed = stored(text_column(docs, text_col).withColumn(ROW, F.monotonically_increasing_id()), "documents")
+    found = component_of_documents(keyed, id_col=ROW, text_col=text_col).withColumnRenamed("doc_id", ROW)
+    own = keyed.select(ROW, F.col(id_col).cast("long").alias("own_id"), F.sha2(F.col(text_col).cast("binary"), 256).alias("digest"))
+    placed = stored(found.join(own, ROW), "components")
+    first = F.min(F.struct(F.col("own_id").isNull().alias("last"), "own_id", "digest", ROW))[ROW].alias(ROW)
+    kept = placed.where("n_shingles > 0").groupBy("component_id").agg(first).select(ROW)
+    wordless = placed.where("n_shingles = 0")
+    kept = kept.unionByName(wordless.where("own_id IS NULL").select(ROW)).unionByName(wordless.where("own_id IS NOT NULL").groupBy("own_id", "digest").agg(F.min(ROW).alias(ROW)).select(ROW))
+    return keyed.join(kept, ROW, "left_semi").select(*docs.columns)

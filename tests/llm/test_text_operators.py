@@ -71,6 +71,19 @@ def test_jaccard_join_lists_and_counts_every_link(spark, monkeypatch):
         assert len(listed) == len(set(listed)) == len(pairs) and all(u < v for u, v in listed)
 
 
+def test_one_of_each_group_with_repeated_and_missing_ids(spark):
+    rng = random.Random(11)
+    x, y, z = (words(rng, 60) for _ in range(3))
+    near = lambda w, k: " ".join([*w[:-1], "q" * k])
+    rows = [(1, " ".join(x)), (2, near(x, 3)), (2, " ".join(y)), (3, " ".join(z)), (3, near(z, 3)), (None, near(x, 4)), (None, "only here, twice"), (None, "only here, twice"), (None, None), (None, ""), (4, ""), (4, ""), (4, None)]
+    kept = jaccard_join.one_of_each_group(frame(spark, [(a, b, None, None, None) for a, b in rows])).collect()
+    got = collections.Counter((r["doc_id"], r["text"]) for r in kept)
+    thirds = [k for k in got if k[0] == 3]
+    assert len(thirds) == 1 and thirds[0] in rows
+    del got[thirds[0]]
+    assert got == collections.Counter([(1, " ".join(x)), (2, " ".join(y)), (None, "only here, twice"), (None, None), (None, ""), (4, ""), (4, None)])
+
+
 def test_decontamination_against_plain_scan(spark):
     docs = documents()
     base = docs[0][1].split()
