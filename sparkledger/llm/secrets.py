@@ -3,9 +3,10 @@
 Base kinds come from patterns (``assign``, ``access``, ``hex``).  Further kinds are reported only if their inside confirms
 them: a candidate in base64 or hex is decoded, and the decoded bytes must parse as what they claim to be.
 
-* ``pem``: a PEM block (BEGIN ... PRIVATE KEY ... END) whose body decodes to one DER value that fills it exactly, or to an
-  OpenSSH key with well-formed nested lengths;
-* ``der``: a bare base64 or hex run that decodes to a PKCS#1 / PKCS#8 / SEC 1 private key in DER: a sequence with an
+* ``pem``: a PEM block (BEGIN ... PRIVATE KEY ... END) whose body decodes to one DER sequence that fills it exactly, or to
+  an OpenSSH key with well-formed nested lengths; header lines may come first, and if they say that the body is encrypted
+  (Proc-Type and DEK-Info) it need only decode to whole cipher blocks;
+* ``der``: a bare base64 or hex run that decodes to a PKCS#1 / PKCS#8 / SEC 1 / DSA private key in DER: a sequence with an
   integer version first and nested lengths that end where it ends;
 * ``ssh``: a bare base64 run that decodes to ``openssh-key-v1`` or to an SSH wire-format key with fitting lengths;
 * ``jwt``: a signed token of three base64url parts whose first part is a JSON object with ``alg`` and whose second is a
@@ -34,8 +35,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run of lower-case hex digits is one match, so runs of 32 or more are the matches that stay.
 HEX = re.compile(r"[0-9a-f]{32,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----\s*+((?:[A-Za-z0-9-]++:[^\r\n]*+\r?\n(?:[ \t][^\r\n]*+\r?\n)*+)*+)([A-Za-z0-9+/=\s]++)-----END \1-----")
+_ENCRYPTED = re.compile(r"^Proc-Type:[ \t]*4[ \t]*,[ \t]*ENCRYPTED[ \t\r]*$", re.MULTILINE)
+#: Three base64url parts, the first as long as the shortest header with an alg and starting like a brace or white space;
+#: only the first character is consumed, so a candidate may start inside another.
+JWT = re.compile(r"[eICD](?<![A-Za-z0-9_-].)(?=([A-Za-z0-9_-]{13,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++))")
 #: A base64 run long enough for the shortest private key (an Ed25519 PKCS#8 key has 48 bytes) that starts like a DER
 #: sequence (0x30) or like the two SSH formats.
 BARE64 = re.compile(r"(?<![A-Za-z0-9+/])(?:M[A-Za-f]|b3BlbnNzaC1rZXkt|AAAA[A-E])[A-Za-z0-9+/]{54,}={0,2}")
@@ -64,31 +68,36 @@ def der_value(raw: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
+def der_children(raw: bytes, lo: int, hi: int) -> list[tuple[int, int, int]] | None:
+    """The values that fill a range of bytes; None if they do not, or a sequence inside is not filled by values."""
+    found = []
+    while lo < hi:
+        value = der_value(raw, lo, hi)
+        if not value or (value[0] == 0x30 and der_children(raw, value[1], value[2]) is None):
+            return None
+        found.append(value)
+        lo = value[2]
+    return found
+
+
+def der_sequence(raw: bytes) -> list[tuple[int, int, int]] | None:
+    """The values of a sequence that fills the bytes, all of whose lengths nest; None if it is not one."""
+    top = der_value(raw, 0, len(raw))
+    return der_children(raw, top[1], top[2]) if top and top[0] == 0x30 and top[2] == len(raw) else None
+
+
 def private_key_der(raw: bytes) -> bool:
     """A sequence that fills the bytes, with an integer version of one byte first and at least one more value, all of
     whose lengths nest; sequences inside are parsed too."""
-    top = der_value(raw, 0, len(raw))
-    if not top or top[0] != 0x30 or top[2] != len(raw):
-        return False
-
-    def children(lo: int, hi: int) -> list[tuple[int, int, int]] | None:
-        found = []
-        while lo < hi:
-            value = der_value(raw, lo, hi)
-            if not value or (value[0] == 0x30 and children(value[1], value[2]) is None):
-                return None
-            found.append(value)
-            lo = value[2]
-        return found
-
-    parts = children(top[1], top[2])
+    parts = der_sequence(raw)
     if not parts or len(parts) < 2 or parts[0][0] != 0x02 or parts[0][2] - parts[0][1] != 1:
         return False
     rest = [t for t, _, _ in parts[1:]]
     pkcs1 = len(rest) >= 8 and all(t == 0x02 for t in rest[:8])
     pkcs8 = len(rest) >= 2 and rest[0] == 0x30 and rest[1] == 0x04
     sec1 = rest[0] == 0x04
-    return pkcs1 or pkcs8 or sec1
+    dsa = len(rest) == 5 and all(t == 0x02 for t in rest)
+    return pkcs1 or pkcs8 or sec1 or dsa
 
 
 def _chunks(raw: bytes, at: int) -> list[bytes] | None:
@@ -145,14 +154,17 @@ def confirmed(text: str) -> list[tuple[int, int, str]]:
     found = []
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            raw = _b64("".join(m[2].split()))
-            if raw and (private_key_der(raw) or ssh_key(raw)):
+            raw = _b64("".join(m[3].split()))
+            encrypted = _ENCRYPTED.search(m[2]) and "DEK-Info:" in m[2]
+            if raw and (len(raw) % 8 == 0 if encrypted else der_sequence(raw) or ssh_key(raw)):
                 found.append((m.start(), m.end(), "pem"))
-    if "eyJ" in text:
-        for m in JWT.finditer(text):
-            head, body, _ = m[0].split(".")
+    end = 0
+    for m in JWT.finditer(text):
+        if m.start() >= end:
+            head, body, _ = text[m.start() : m.end(1)].split(".")
             if isinstance((_json_object(head) or {}).get("alg"), str) and _json_object(body) is not None:
-                found.append((m.start(), m.end(), "jwt"))
+                end = m.end(1)
+                found.append((m.start(), end, "jwt"))
     inside = [s for s in found if s[2] == "pem"]
     if _HINTS_64.search(text):
         for m in BARE64.finditer(text):

@@ -256,6 +256,26 @@ def test_secret_scan(spark):
     assert clean[0]["n_chars"] == len(clean[0]["text"]) and clean[1]["text"] is None
 
 
+def test_secret_scan_of_further_keys():
+    def pem(label, raw, head=""):
+        return f"-----BEGIN {label}-----\n{head}{base64.encodebytes(raw).decode()}-----END {label}-----"
+
+    number = lambda k: der(2, bytes(range(1, k + 1)))
+    dsa = der(0x30, der(2, b"\0") + b"".join(number(k) for k in (100, 20, 100, 100, 20)))
+    sealed = der(0x30, der(0x30, der(6, b"\x2a\x03") + der(0x30, der(4, bytes(8)) + der(2, b"\x08"))) + der(4, bytes(range(64))))
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    url = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    jwt = url(b'{ "alg": "HS256" }') + "." + url(b' {"sub": "a"}') + ".c2lnbmF0dXJl"
+    for text in (pem("DSA PRIVATE KEY", dsa), pem("ENCRYPTED PRIVATE KEY", sealed), pem("RSA PRIVATE KEY", bytes(range(96)), head), pem("DSA PRIVATE KEY", dsa, "Comment: mine\n\n")):
+        assert (2, 2 + len(text), "pem") in secrets.confirmed(f"é {text} z")
+        assert secrets.redact(f"é {text} z") == "é [secret] z"
+    assert secrets.confirmed("k " + base64.b64encode(dsa).decode())[0][2] == "der"
+    for before in ("", "x.", "eyJhIjoxfQ.", "www.example.", "\n"):
+        assert secrets.confirmed(before + jwt) == [(len(before), len(before) + len(jwt), "jwt")]
+    for text in (pem("RSA PRIVATE KEY", bytes(range(96))), pem("RSA PRIVATE KEY", dsa + b"x"), pem("RSA PRIVATE KEY", bytes(97), head), "Considerations.of.three parts", "a" + jwt):
+        assert secrets.confirmed(text) == []
+
+
 def test_language_id_on_held_out_rows(spark):
     import random
 
