@@ -3,15 +3,21 @@
 Queries and candidates are dealt into blocks by a hash of their id; a cell is one query block against one candidate block,
 so the work is a grid of cells of bounded size, whatever the skew of the vectors.  In a cell every dimension has its
 candidates sorted by component.  A query reads these lists in parallel (from the top where its own component is positive,
-from the bottom where it is negative, not at all where it is zero), scores what it meets by random access, and stops once
-its k-th score is above the threshold: the sum of its components times the components at the present depth, which bounds
-every candidate not met yet.  At equality it reads on, since a tie may go to a smaller id.  The cells' best k are merged.
+from the bottom where it is negative, not at all where it is zero), each time to twice the depth, scores what it meets by
+random access, and stops once the score to beat is above the threshold: the sum of its components times the components at
+the present depth, which bounds every candidate not met yet.  At equality it reads on, since a tie may go to a smaller id.
+It also stops when it has met all rows.
 
-Components are quantised to ``floor(scale * x)``, so scores are exact integers.
+The score to beat is carried from cell to cell: each query first searches one candidate block, and its k-th score there is
+its *floor* in all cells.  A cell whose largest components cannot reach the floor is left without reading, and no cell gives
+back what is below it.  The cells' best k are merged.
+
+Components are quantised to ``floor(scale * x)``, so scores are exact integers (computed in floating point only where that
+is exact).
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, nor do rows with a null
-id; a repeated id counts once (its smallest vector); a shorter vector counts as ending in zeros; fewer than k candidates
-give all; no queries or candidates give no rows.
+id; rows of a repeated id are candidates of their own, and queries that are ranked together; a query's own id is no candidate
+of it; a shorter vector counts as ending in zeros; fewer than k candidates give all; no queries or candidates give no rows.
 """
 
 from __future__ import annotations
@@ -49,49 +55,54 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
-def _once(ids: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows by id, the smallest vector of a repeated one."""
-    order = np.argsort(ids, kind="stable")
-    if len(ids) > 1 and (np.diff(ids[order]) == 0).any():
-        order = np.lexsort([*m.T[::-1], ids])
-        order = order[np.concatenate([[True], np.diff(ids[order]) != 0])]
-    return ids[order], m[order]
-
-
 class Lists:
     """The sorted lists of a block: ``down[t, i]`` is the row with the t-th largest component i."""
 
     def __init__(self, ids: np.ndarray, m: np.ndarray):
-        self.ids, self.m = _once(ids, m)
-        self.down = np.argsort(-self.m, axis=0, kind="stable")
-        self.values = np.take_along_axis(self.m, self.down, axis=0)
-
-    def top(self, query_id: int, q: np.ndarray, k: int, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, int]:
-        """(ids, scores) of the best k but the query's own row, and the depth that was read."""
+        order = np.argsort(ids, kind="stable")
+        self.ids, m = ids[order], m[order]
+        self.down = np.argsort(-m, axis=0, kind="stable")
+        self.values = np.take_along_axis(m, self.down, axis=0)
+        self.most = int(np.abs(m).max(initial=0))
+        self.m, self.exact = m, m.astype(np.float64)
+
+    def scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        if self.most * int(np.abs(q).max(initial=0)) * len(q) < 1 << 53:  # every partial sum is a whole number of 53 bits
+            return (self.exact[rows] @ q.astype(np.float64)).astype(np.int64)
+        return self.m[rows] @ q
+
+    def top(self, query_id: int, q: np.ndarray, k: int, floor: int | None = None, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, int]:
+        """(ids, scores) of the best k but rows of the query's own id, none under the floor, and the depth that was read."""
         n = len(self.ids)
         up, low = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        new = np.ones(n, dtype=bool)
-        own = np.searchsorted(self.ids, query_id)
-        if own < n and self.ids[own] == query_id:
-            new[own] = False
+        new = self.ids != query_id
         rows, scores = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        t = 0
-        while t < n:
-            to = min(n, t + depth)
-            met = np.concatenate([self.down[t:to, up].ravel(), self.down[n - to : n - t, low].ravel()]) if len(up) or len(low) else np.arange(n)
+        t, beat = 0, floor
+        while t < n and new.any():
+            at = max(0, t - 1)  # before the first read, the largest components
+            if beat is not None and beat > self.values[at, up] @ q[up] + self.values[n - 1 - at, low] @ q[low]:
+                break
+            to = min(n, 2 * t + depth) if len(up) or len(low) else n
             fresh = np.zeros(n, dtype=bool)
-            fresh[met] = True
+            if to == n:
+                fresh[:] = True
+            else:
+                fresh[self.down[t:to, up].ravel()] = True
+                fresh[self.down[n - to : n - t, low].ravel()] = True
             met = np.flatnonzero(fresh & new)
             new[met] = False
-            rows, scores = np.concatenate([rows, met]), np.concatenate([scores, self.m[met] @ q])
+            rows, scores = np.concatenate([rows, met]), np.concatenate([scores, self.scores(met, q)])
             if len(rows) > k:
-                best = np.lexsort([rows, -scores])[:k]  # rows are in the order of their ids
+                least = np.partition(scores, len(scores) - k)[len(scores) - k]
+                best = np.flatnonzero(scores >= least)
+                best = best[np.lexsort([rows[best], -scores[best]])[:k]]  # rows are in the order of their ids
                 rows, scores = rows[best], scores[best]
-            t = to if len(up) or len(low) else n
-            if len(rows) >= k and t < n and scores.min() > self.values[t - 1, up] @ q[up] + self.values[n - t, low] @ q[low]:
-                break
-        best = np.lexsort([rows, -scores])[:k]
-        return self.ids[rows[best]], scores[best], t
+            if len(rows) >= k:
+                beat = max(int(scores.min()), int(scores.min()) if floor is None else floor)
+            t = to
+        keep = np.lexsort([rows, -scores])[:k]
+        keep = keep if floor is None else keep[scores[keep] >= floor]
+        return self.ids[rows[keep]], scores[keep], t
 
 
 _OUT = "query_id long, vec_id long, score long"
@@ -102,28 +113,34 @@ def search(candidates: DataFrame, queries: DataFrame, *, k: int = 5, query_block
     across, down = max(1, math.ceil(candidates.count() / candidate_block)), max(1, math.ceil(queries.count() / query_block))
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = queries.select(F.lit(True).alias("asks"), "vec_id", "v", block(down).alias("qb"), each(across).alias("cb"))
-    given = candidates.select(F.lit(False).alias("asks"), "vec_id", "v", each(down).alias("qb"), block(across).alias("cb"))
+    asked = queries.select("vec_id", "v", block(down).alias("qb"))
+    given = candidates.select(F.lit(False).alias("asks"), "vec_id", "v", F.lit(None).cast("long").alias("floor"), block(across).alias("cb"))
     schema = arrow_schema(_OUT)
 
     def cell(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy()
         ids = table.column("vec_id").to_numpy()
         vectors = table.column("v")
-        width = int(np.diff(vectors.combine_chunks().offsets.to_numpy()).max())
-        m = _matrix(vectors, width)
+        m = _matrix(vectors, int(np.diff(vectors.combine_chunks().offsets.to_numpy()).max()))
         out: tuple[list, list, list] = ([], [], [])
         if asks.any() and not asks.all():
             lists = Lists(ids[~asks], m[~asks])
-            for query_id, q in zip(*_once(ids[asks], m[asks]), strict=True):
-                found, scores, _ = lists.top(int(query_id), q, k)
-                out[0].append(np.full(len(found), query_id))
-                out[1].append(found)
-                out[2].append(scores)
+            floors = table.column("floor").filter(pa.array(asks)).to_pylist()
+            for query_id, q, floor in zip(ids[asks].tolist(), m[asks], floors, strict=True):
+                found, scores, _ = lists.top(query_id, q, k, floor)
+                for col, x in zip(out, (np.full(len(found), query_id), found, scores), strict=True):
+                    col.append(x)
         joined = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in out]
         return pa.table([pa.array(x, type=pa.int64()) for x in joined], schema=schema)
 
-    best = asked.unionByName(given).groupBy("qb", "cb").applyInArrow(cell, _OUT)
+    cols = ["asks", "vec_id", "v", "floor", "qb", "cb"]
+    first = asked.withColumn("cb", F.col("qb") % across).select(F.lit(True).alias("asks"), "vec_id", "v", F.lit(None).cast("long").alias("floor"), "qb", "cb")
+    # a query block meets the candidate block of its own number, so a candidate block goes to the query blocks of that rest
+    beside = given.withColumn("qb", F.explode(F.when(F.col("cb") < down, F.sequence(F.col("cb"), F.lit(down - 1).cast("long"), F.lit(across).cast("long"))))).select(*cols)
+    seeds = first.select(*cols).unionByName(beside).groupBy("qb", "cb").applyInArrow(cell, _OUT)
+    floors = seeds.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "floor")
+    main = asked.join(floors, "vec_id", "left").withColumn("cb", each(across)).select(F.lit(True).alias("asks"), "vec_id", "v", "floor", "qb", F.col("cb").cast("long").alias("cb"))
+    best = main.select(*cols).unionByName(given.withColumn("qb", each(down)).select("asks", "vec_id", "v", "floor", F.col("qb").cast("long").alias("qb"), "cb")).groupBy("qb", "cb").applyInArrow(cell, _OUT)
     return ranked(best, F.col("score").desc(), k)
 
 

@@ -62,19 +62,18 @@ def test_top_k_against_all_scores(spark):
     rows = [(i, [rng.choice([-0.5, 0.0, 0.25, rng.gauss(0, 0.4)]) for _ in range(8)]) for i in range(300)]
     rows += [(300 + i, rows[7][1]) for i in range(40)]
     rows += [(900, None), (901, [0.1, None]), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (None, [0.1] * 8), (350, [0.0] * 8), (400, []), (450, [0.5, 0.5]), (7, rows[7][1])]
-    good = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            q = [math.floor(256 * x) for x in v]
-            good[i] = min(good.get(i, q), q)
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for i in [i for i in good if i % 50 == 0]:
-        scores = sorted((-sum(a * b for a, b in zip(good[i], v)), j) for j, v in good.items() if j != i)[:5]
+    for i in {i for i, _ in good if i % 50 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for h, q in good if h == i for j, v in good if j != i)[:5]
         want += [(i, k, j, -s) for k, (s, j) in enumerate(scores, 1)]
     vectors = topk_search.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)))
     got = topk_search.search(vectors, vectors.where("vec_id % 50 = 0"), candidate_block=64, query_block=3)
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    got = topk_search.search(vectors, vectors.where("vec_id % 50 = 0"), candidate_block=120, query_block=2)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
     assert topk_search.search(vectors.limit(0), vectors).count() == 0
+    assert topk_search.search(vectors, vectors.limit(0)).count() == 0
 
 
 def test_threshold_stops_early():
@@ -85,3 +84,7 @@ def test_threshold_stops_early():
     lists = topk_search.Lists(np.arange(2000), (m * 256).astype(np.int64))
     _, _, depth = lists.top(-1, np.array([3, 1, 2, 1]), 5)
     assert depth < 400
+    q = np.array([3, 1, 2, 1])
+    ids, _, _ = lists.top(-1, q, 5, int(((m * 256).astype(np.int64) @ q).max()) + 1)
+    assert not len(ids)  # all are under the floor
+    assert lists.top(-1, q, 5, int(lists.values[0] @ q) + 1)[2] == 0  # the largest components cannot reach the floor
