@@ -8,7 +8,9 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -17,6 +19,11 @@ from sparkledger.llm.license_texts import TEMPLATES
 
 from .fixtures import DOC_SCHEMA, documents, frame, with_extra, words
 
+@pytest.fixture(autouse=True)
+def few_tasks(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MIN_TASKS", 4)
+
+
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -52,6 +59,25 @@ def test_jaccard_join_of_large_buckets(spark, monkeypatch):
     test_jaccard_join_against_all_pairs(spark)
 
 
+def test_jaccard_join_of_split_buckets(spark, monkeypatch):
+    for name, value in (("SMALL", 3), ("HUBS", 1), ("LOCAL", 1), ("BUCKET", 6), ("SHOWN", 2), ("BLOCK", 5), ("COMMON_BYTES", 64)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    test_jaccard_join_against_all_pairs(spark)
+    test_jaccard_join_lists_and_counts_every_link(spark, monkeypatch)
+
+
+def test_fingerprints_pass_every_similar_pair():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 30, 400, 60_000):
+        own = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for share in (1.0, 0.9, 0.81):
+            other = np.unique(np.concatenate([own[: int(len(own) * share + 0.999)], rng.integers(0, 1 << 63, int(n * (1 - share) / 3), dtype=np.uint64)]))
+            common = len(np.intersect1d(own, other))
+            if 100 * common >= 80 * (len(own) + len(other) - common):
+                prints = jaccard_join.Prints(pa.array([jaccard_join.fingerprint(x).tobytes() for x in (own, other)]))
+                assert jaccard_join.plausible(np.array([len(own)]), np.array([len(other)]), prints, np.array([0]), prints, np.array([1])).all()
+
+
 def test_jaccard_join_lists_and_counts_every_link(spark, monkeypatch):
     rng = random.Random(5)
     base = words(rng, 150)
@@ -337,3 +363,47 @@ def test_empty_tables(spark, tmp_path, name):
     spark.createDataFrame([], DOC_SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert __spark_entry__.queries()[name](spark, str(tmp_path)).count() == 0
+
+
+def _nested(depth):
+    raw = b""
+    for _ in range(depth):
+        n = len(raw)
+        size = bytes([n]) if n < 0x80 else (lambda k: bytes([0x80 | len(k)]) + k)(n.to_bytes((n.bit_length() + 7) // 8, "big"))
+        raw = b"\x30" + size + raw
+    return raw
+
+
+def test_der_of_any_depth():
+    raw = _nested(20_000)
+    assert secrets.der_sequence(raw) is not None and secrets.der_sequence(raw + b"\x00") is None
+    assert secrets.der_sequence(raw[:-2] + b"\x30\x01") is None  # the innermost length runs over
+    assert not secrets.private_key_der(raw)
+    assert secrets.confirmed("x " + _nested(1_200).hex() + " y") == []
+
+
+def test_groups_of_packing_stay_small(spark):
+    rng = random.Random(2)
+    rows = [(i, 0, 0, rng.randint(250, 500), i) for i in range(3_000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, crc long")
+    got = packing.pack(pieces, seq_len=1024, group_rows=250).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(3_000))
+    groups, fill = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        groups[r["sequence_id"] >> 24] += 1
+        fill[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert max(groups.values()) < 400
+    for places in fill.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    # as good as best-fit decreasing over all rows in one group, within two in a hundred
+    assert len(fill) <= 1.02 * packing.best_fit_decreasing(np.sort(np.array([r[3] for r in rows]))[::-1], 1024)[2]
+
+
+def test_more_languages_than_the_model_takes_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        language_id.train(frame(spark))
