@@ -69,14 +69,21 @@ def der_value(raw: bytes, at: int, end: int) -> tuple[int, int, int] | None:
 
 
 def der_children(raw: bytes, lo: int, hi: int) -> list[tuple[int, int, int]] | None:
-    """The values that fill a range of bytes; None if they do not, or a sequence inside is not filled by values."""
-    found = []
-    while lo < hi:
-        value = der_value(raw, lo, hi)
-        if not value or (value[0] == 0x30 and der_children(raw, value[1], value[2]) is None):
-            return None
-        found.append(value)
-        lo = value[2]
+    """The values that fill a range of bytes; None if they do not, or a sequence inside is not filled by values.
+
+    Sequences inside are parsed from a list of open ranges, so any depth of nesting is taken."""
+    found, waiting = None, [(lo, hi)]
+    while waiting:
+        at, end = waiting.pop()
+        own = []
+        while at < end:
+            value = der_value(raw, at, end)
+            if not value:
+                return None
+            own.append(value)
+            at = value[2]
+        waiting += [(a, b) for tag, a, b in own if tag == 0x30]
+        found = own if found is None else found
     return found
 
 
