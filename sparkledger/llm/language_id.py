@@ -9,7 +9,7 @@
 * Prediction is a map over whole texts: the table of weights (languages x slots) is of fixed size and is broadcast.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; a null id is not held out and not learned from;
-an unlabelled document is predicted but not learned from; if nothing can be learned all texts are ``und``; repeated rows
+an unlabelled document is predicted but not learned from; more than ``MAX_LANGUAGES`` labels are an error; if nothing can be learned all texts are ``und``; repeated rows
 give repeated rows; an empty table gives an empty result.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytetext as B
@@ -30,6 +30,8 @@ from .shared import map_batches, release_memory, text_column
 BITS = 16
 ORDERS = (1, 2, 3)
 SAMPLE_ROWS = 4_000
+#: The table of weights has a row for each language, so a training table of more languages than these is refused.
+MAX_LANGUAGES = 1_000
 #: The learner looks at the document frequencies of slots that at least so many training documents hold.
 MIN_DOCS = 2
 FOLDS = 5
@@ -123,13 +125,15 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
     return out, int(summed[summed.block < 0].n.sum())
 
 
-def _sample(docs: DataFrame, idf: np.ndarray, sample_rows: int, languages: list[str], id_col: str, text_col: str, label_col: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def _sample(docs: DataFrame, idf: np.ndarray, sample_rows: int, counts: dict[str, int], id_col: str, text_col: str, label_col: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """(label, slots, values) of at most sample_rows documents; the lowest id hashes of each language."""
+    languages = sorted(counts)
     each = max(1, sample_rows // len(languages))
-    picked = None
-    for language in languages:
-        part = docs.where(F.col(label_col) == language).select(F.col(id_col).alias("pick")).orderBy(F.xxhash64("pick", F.lit(8)), "pick").limit(each)
-        picked = part if picked is None else picked.unionByName(part)
+    # of a hash of 40 bits, the part in which twice the rows that are wanted are to be expected: one scan for all languages
+    part = docs.sparkSession.createDataFrame([(k, min(1 << 40, int((1 << 40) * (2 * each + 100) / n))) for k, n in counts.items()], "pick_lang string, part long")
+    own = docs.select(F.col(id_col).alias("pick"), F.col(label_col).cast("string").alias("pick_lang")).withColumn("h", F.xxhash64("pick", F.lit(8)))
+    few = own.join(F.broadcast(part), "pick_lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("part"))
+    picked = few.withColumn("nth", F.row_number().over(Window.partitionBy("pick_lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h", "pick"))).where(F.col("nth") <= each).select("pick")
     # at most sample_rows ids: a proven bound for the broadcast
     ids = docs.sparkSession.sparkContext.broadcast({r[0] for r in picked.distinct().collect()})
     shared = docs.sparkSession.sparkContext.broadcast(idf)
@@ -214,12 +218,15 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """A model from the labelled rows of docs (all of which may be learned from)."""
     usable = text_column(docs, text_col).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
-    languages = sorted(r[0] for r in usable.groupBy(F.col(label_col).cast("string")).count().orderBy(F.desc("count"), label_col).limit(1000).collect())
+    counts = dict(usable.groupBy(F.col(label_col).cast("string")).count().limit(MAX_LANGUAGES + 1).collect())
+    languages = sorted(counts)
     if not languages:
         return None
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different values of {label_col}")
     seen, total = document_frequencies(usable, text_col)
     idf = np.where(seen >= MIN_DOCS, np.log((1 + total) / (1 + seen)) + 1, 0.0)
-    rows = _sample(usable, idf, sample_rows, languages, id_col, text_col, label_col)
+    rows = _sample(usable, idf, sample_rows, counts, id_col, text_col, label_col)
     fit, held = [r for i, r in enumerate(rows) if i % 5], [r for i, r in enumerate(rows) if not i % 5]
     weights, bias = fit_ftrl(fit or held, len(languages))
     logits = np.array([weights[:, s] @ v + bias for _, s, v in held]).T if held else np.zeros((len(languages), 0))
