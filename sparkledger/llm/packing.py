@@ -5,8 +5,8 @@
 2. ``pack`` deals the other pieces into groups of about ``group_rows`` rows.  Each group runs best-fit decreasing and
    compares its bin count with the largest of a family of dual-feasible-function bounds; a group at its bound is
    *certified*.  A certified group gives up only its emptiest sequence, any other group all its sequences with a gap; what
-   is given up is exchanged between groups (dealt anew into fewer groups) and packed again, until one group is left.
-   Every round is a table in the shared folder, so a lost executor repeats a part of one round only.
+   is given up is exchanged between groups (dealt anew into as many groups as it fills) and packed again, until one group
+   is left or a round settles less than a tenth of its rows; then the last places stand.  Every round is a table in the shared folder, so a lost executor repeats a part of one round only.
 3. ``sequences`` joins ids and places to token sequences.
 
 Rows carry lengths and checksums, never ids, through the exchange.  A group holds ``group_rows`` rows however the lengths
@@ -32,8 +32,8 @@ from .shared import arrow_schema, map_arrow, map_batches, stored, text_column
 from .token_units import UnitEncoder
 
 GROUP_ROWS = 16_384
-#: Groups of one round that meet in one group of the next.
-MERGE = 16
+#: A round goes on if at least this share of its rows found a place in a sequence that stays.
+SETTLED = 0.1
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, *, seq_len: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,9 +152,12 @@ def pack(pieces: DataFrame, *, seq_len: int = 1024, group_rows: int = GROUP_ROWS
         done.append(packed.where(~F.col("open")).select(*cols, "sequence_id", "offset"))
         if groups == 1:
             break
-        rows = packed.where("open").select(*cols)
-        left, turn = rows.count(), turn + 1
-        groups = max(1, min(math.ceil(left / group_rows), math.ceil(groups / MERGE)))
+        rows, before, turn = packed.where("open").select(*cols), left, turn + 1
+        left = rows.count()
+        if left > (1 - SETTLED) * before:
+            done.append(packed.where("open").select(*cols, "sequence_id", "offset"))
+            break
+        groups = math.ceil(left / group_rows)
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
