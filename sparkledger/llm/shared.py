@@ -55,8 +55,20 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(f.name, of(f.dataType)) for f in T.StructType.fromDDL(ddl)])
 
 
+#: Rows of a batch between Spark and its Python workers, where the session does not name a number of its own: texts may be
+#: long, and a batch is held by both.
+BATCH_ROWS = 2_000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def release_memory() -> None:
-    """Gives free pages of a worker back to the system, since workers outlive their tasks."""
+    """Gives free pages of a worker (Arrow's and numpy's) back to the system, since workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
@@ -68,6 +80,7 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
         yield from run(batches)
         release_memory()
 
+    _short_batches(df.sparkSession)
     return df.mapInArrow(task, ddl)
 
 
@@ -82,6 +95,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], d
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, type=f.type) for f, x in zip(schema, (out[f.name] for f in schema), strict=True)], schema=schema)
         release_memory()
 
+    _short_batches(df.sparkSession)
     return df.mapInArrow(run, ddl)
 
 
