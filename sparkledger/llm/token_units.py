@@ -21,7 +21,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Units kept by a worker; beyond it the memory is emptied and filled anew (results do not change).
-MEMORY_UNITS = 150_000
+MEMORY_UNITS = 300_000
 #: Characters of new units that go to the tokenizer in one call.
 CALL_CHARS = 1 << 18
 
