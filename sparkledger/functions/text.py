@@ -76,9 +76,18 @@ def label(text: Column) -> Column:
 
 
 def first_span(text: Column, needle: Column) -> Column:
-    """0-based start and exclusive end of the first occurrence, ignoring case; null if there is none."""
-    at = F.instr(F.lower(text), F.lower(needle))
-    return F.when((F.length(needle) > 0) & (at > 0), F.struct((at - 1).alias("start"), (at - 1 + F.length(needle)).alias("end")))
+    """0-based start and exclusive end, in code points, of the first occurrence; null if there is none.
+
+    Case and the length of runs of white space do not matter; an ASCII letter or digit at an edge of the needle must not
+    stand beside another one in the text."""
+    words = F.split(F.trim(F.regexp_replace(needle, r"(?U)\s+", " ")), " ")
+    literal = F.array_join(F.transform(words, lambda w: F.regexp_replace(w, r"([^\p{L}\p{N}_])", r"\\$1")), r"\s+")
+    before = F.when(needle.rlike(r"(?U)^\s*[A-Za-z0-9]"), r"(?<![A-Za-z0-9])").otherwise("")
+    after = F.when(needle.rlike(r"(?U)[A-Za-z0-9]\s*$"), r"(?![A-Za-z0-9])").otherwise("")
+    pattern = F.concat(before, literal, after)
+    cut = lambda group: F.length(F.call_function("regexp_extract", text, F.concat(F.lit("(?isuU)^(.*?)("), pattern, F.lit(")")), F.lit(group))).cast("int")
+    found = (F.trim(needle) != "") & F.regexp_like(text, F.concat(F.lit("(?iuU)"), pattern))
+    return F.when(found, F.struct(cut(1).alias("start"), (cut(1) + cut(2)).alias("end")))
 
 
 def span_matches(text: Column, start: Column, end: Column, mention: Column) -> Column:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NUMBER = r"-?\d[\d,]*(?:\.\d+)?"
+_NUMBER = r"-?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?(?:[eE][-+]?\d+)?"
 
 
 def raw_value(text: Column) -> Column:
-    """struct<lo, hi>: a single number or a closed range, with thousands separators; null if it is neither."""
-    number = lambda group: F.try_to_number(F.regexp_replace(F.regexp_extract(text, rf"^\s*({_NUMBER})(?:\s*(?:-|–|to|~)\s*({_NUMBER}))?\s*$", group), ",", ""), F.lit("S999999999999D999999999")).cast("double")
+    """struct<lo, hi>: a single number or a closed range, with thousands separators or an exponent; null if it is neither."""
+    number = lambda group: F.regexp_replace(F.regexp_extract(text, rf"^\s*({_NUMBER})(?:\s*(?:-|–|to|~)\s*({_NUMBER}))?\s*$", group), ",", "").try_cast("double")
     lo = number(1)
     return F.when(lo.isNotNull(), F.struct(lo.alias("lo"), F.coalesce(number(2), lo).alias("hi")))
 

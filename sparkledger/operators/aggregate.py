@@ -62,9 +62,11 @@ def chunks(rows: DataFrame, source: str, page: str, quote: Column, record: str,
 
 def deduplicated(rows: DataFrame, keys: list[Column], order: str) -> DataFrame:
     """rows with kept (whether it is the first of its key) and alias_of (the first one's order value)."""
-    keyed = rows.withColumn("_k", F.xxhash64(*keys)).withColumn("_s", F.sha2(F.concat_ws("\x1f", *(k.cast("string") for k in keys)), 256))
+    # a null part is no empty one, and (null, x) is not (x, null)
+    parts = [F.coalesce(F.concat(F.lit("="), k.cast("string")), F.lit("-")) for k in keys]
+    keyed = rows.withColumn("_s", F.sha2(F.concat_ws("\x1f", *parts), 256))
     first = keyed.groupBy("_s").agg(F.min(order).alias("alias_of"))
-    return keyed.join(first, "_s").withColumn("kept", F.col(order) == F.col("alias_of")).drop("_k", "_s")
+    return keyed.join(first, "_s").withColumn("kept", F.col(order) == F.col("alias_of")).drop("_s")
 
 
 def ordinals(rows: DataFrame, group: list[str | Column], order: list[str | Column], name: str = "ordinal") -> DataFrame:

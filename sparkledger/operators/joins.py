@@ -46,7 +46,7 @@ def code_of(text: Column, vocabulary: dict[str, list[str]]) -> Column:
     table: dict[str, str] = {}
     for code, aliases in vocabulary.items():
         for a in [code, *aliases]:
-            table.setdefault(" ".join(a.split()).casefold(), code)
+            table.setdefault(" ".join(a.split()).lower(), code)
     return F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), F.lower(F.trim(F.regexp_replace(text, r"\s+", " "))))
 
 

@@ -92,8 +92,12 @@ def text_normalized_map(t: Tables) -> DataFrame:
     return t.benchmark.select("item_id", text.normalized_with_map("text").alias("m")).select("item_id", "m.text", F.size("m.places").alias("places"))
 
 
-@query("text_spans", "SELECT doc_id, CAST(instr(lower(text), 'the') - 1 AS INTEGER) AS start, CAST(instr(lower(text), 'the') + 2 AS INTEGER) AS \"end\" FROM documents WHERE instr(lower(text), 'the') > 0")
+_THE = "'(?is)^(|.*?[^A-Za-z0-9])the([^A-Za-z0-9]|$)'"
+
+
+@query("text_spans", f"SELECT doc_id, CAST(length(regexp_extract(text, {_THE}, 1)) AS INTEGER) AS start, CAST(length(regexp_extract(text, {_THE}, 1)) + 3 AS INTEGER) AS \"end\" FROM documents WHERE regexp_matches(text, {_THE})")
 def text_spans(t: Tables) -> DataFrame:
+    """The first "the" that is a word of its own."""
     return t.documents.select("doc_id", text.first_span(F.col("text"), F.lit("THE")).alias("s")).where("s IS NOT NULL").select("doc_id", "s.start", "s.end")
 
 

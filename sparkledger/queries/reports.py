@@ -9,35 +9,30 @@ from ..functions.text import label
 from ..operators import derive as D
 from ..operators import relations as X
 from ..operators.joins import last_by
-from .registry import Tables, query
+from .registry import SQL, Tables, query
 
-_CTX = "substr(text, 1, 200)"
-_HAS = lambda cue: f"contains(' ' || lower(regexp_replace({_CTX}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ', ' {cue} ')"
-_NEG = f"regexp_matches(lower({_CTX}), '(^|\\W)(was)($|\\W)')"
+_HAS = lambda cue: f"contains(' ' || lower(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ', ' {cue} ')"
+_NEG = "regexp_matches(lower(text), '(^|\\W)(was)($|\\W)')"
 
 
-@query("relation_coding", f"WITH m AS (SELECT doc_id, {_HAS('this')} AS a, {_HAS('with')} AS b, {_HAS('of')} AS c, {_NEG} AS n FROM documents) SELECT doc_id, CASE WHEN NOT (a OR b OR c) THEN 'no_cue' WHEN n THEN 'negated' WHEN a AND b THEN 'ambiguous' ELSE 'coded' END AS status, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'points' WHEN b THEN 'joins' ELSE 'joins' END AS code, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'this' WHEN b THEN 'with' ELSE 'of' END AS cue FROM m")
+@query("relation_coding", f"WITH m AS (SELECT doc_id, {_HAS('this')} AS a, {_HAS('with')} AS b, {_HAS('of')} AS c, {_NEG} AS n FROM documents) SELECT doc_id, CASE WHEN NOT coalesce(a OR b OR c, false) THEN 'no_cue' WHEN n THEN 'negated' WHEN a AND b THEN 'ambiguous' ELSE 'coded' END AS status, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'points' WHEN b OR c THEN 'joins' END AS code, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'this' WHEN b THEN 'with' WHEN c THEN 'of' END AS cue FROM m")
 def relation_coding(t: Tables) -> DataFrame:
-    """The longest cue names the predicate; equal length with another code is ambiguous."""
-    found = X.predicate_match(F.substring("text", 1, 200), {"points": ["this"], "joins": ["with", "of"]}, negations=["was"])
+    """The longest cue of a whole text names the predicate; equal length with another code is ambiguous."""
+    found = X.predicate_match(F.col("text"), {"points": ["this"], "joins": ["with", "of"]}, negations=["was"])
     return t.documents.select("doc_id", found.alias("m")).select("doc_id", "m.status", "m.code", "m.cue")
 
 
-_ALL = lambda cue: _HAS(cue).replace(_CTX, "text")
-_ALL_NEG = _NEG.replace(_CTX, "text")
-
+#: The name under which whole texts were coded before relation_coding read them.
+query("relation_coding_whole", SQL["relation_coding"])(relation_coding)
 
-@query("relation_coding_whole", f"WITH m AS (SELECT doc_id, {_ALL('this')} AS a, {_ALL('with')} AS b, {_ALL('of')} AS c, {_ALL_NEG} AS n FROM documents) SELECT doc_id, CASE WHEN NOT coalesce(a OR b OR c, false) THEN 'no_cue' WHEN n THEN 'negated' WHEN a AND b THEN 'ambiguous' ELSE 'coded' END AS status, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'points' WHEN b OR c THEN 'joins' END AS code, CASE WHEN n OR (a AND b) OR NOT (a OR b OR c) THEN NULL WHEN a THEN 'this' WHEN b THEN 'with' WHEN c THEN 'of' END AS cue FROM m")
-def relation_coding_whole(t: Tables) -> DataFrame:
-    """relation_coding over whole texts (its own SQL keeps to their first 200 characters)."""
-    found = X.predicate_match(F.col("text"), {"points": ["this"], "joins": ["with", "of"]}, negations=["was"])
-    return t.documents.select("doc_id", found.alias("m")).select("doc_id", "m.status", "m.code", "m.cue")
+_WORD = lambda w: f"'(?is)^(|.*?[^A-Za-z0-9]){w}([^A-Za-z0-9]|$)'"
+_AT = lambda w: f"CASE WHEN regexp_matches(text, {_WORD(w)}) THEN 1 + length(regexp_extract(text, {_WORD(w)}, 1)) ELSE 0 END"
 
 
-@query("relation_context", "WITH p AS (SELECT doc_id, text, instr(lower(text), 'the') AS a, instr(lower(text), ' of') AS b FROM documents) SELECT doc_id, substr(text, least(a + 3, b + 3)::INT, (greatest(a, b) - least(a + 3, b + 3))::INT) AS context FROM p WHERE a > 0 AND b > 0 AND greatest(a, b) >= least(a + 3, b + 3)")
+@query("relation_context", f"WITH p AS (SELECT doc_id, text, {_AT('the')} AS a, {_AT('of')} AS b FROM documents) SELECT doc_id, substr(text, least(a + 3, b + 2)::INT, (greatest(a, b) - least(a + 3, b + 2))::INT) AS context FROM p WHERE a > 0 AND b > 0 AND greatest(a, b) >= least(a + 3, b + 2)")
 def relation_context(t: Tables) -> DataFrame:
     """The text between two anchored ends."""
-    return t.documents.select("doc_id", X.between(F.col("text"), F.lit("the"), F.lit(" of")).alias("context")).where("context IS NOT NULL")
+    return t.documents.select("doc_id", X.between(F.col("text"), F.lit("the"), F.lit("of")).alias("context")).where("context IS NOT NULL")
 
 
 @query("cited_items", "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'figure ' || p_size || ',table S' || (p_size % 7) || ',table S' || (p_size % 7 + 1) ELSE 'figure ' || p_size END AS items FROM part")

@@ -45,10 +45,10 @@ def test_relation_coding_reads_past_a_prefix(spark, tmp_path):
     pad = "x " * 150
     texts = [f"{pad}this", f"{pad}with", f"this {pad}was", f"this {pad}with", pad, None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = sorted(QUERIES["relation_coding_whole"](spark, str(tmp_path)).collect())
+    got = sorted(QUERIES["relation_coding"](spark, str(tmp_path)).collect())
     assert [r["status"] for r in got] == ["coded", "coded", "negated", "ambiguous", "no_cue", "no_cue"]
     assert [r["cue"] for r in got] == ["this", "with", None, None, None, None]
-    want = duckdb.sql(SQL["relation_coding_whole"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")).fetchall()
+    want = duckdb.sql(SQL["relation_coding"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")).fetchall()
     assert sorted(map(repr, want)) == sorted(repr((r["doc_id"], r["status"], r["code"], r["cue"])) for r in got)
 
 

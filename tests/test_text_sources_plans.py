@@ -31,6 +31,9 @@ def test_normalisers(spark):
 def test_spans_numbers_and_locators(spark):
     span = one(spark, text.first_span(F.col("t"), F.lit("WORLD")), "hello 😀 World")
     assert (span["start"], span["end"]) == (8, 13)
+    for needle, t, want in (("PH", "qPH7.1 and ph", (11, 13)), ("heat stress", "İ heat \n Stress", (2, 15)), ("a+b", "xa+b a+b", (5, 8)), ("(x)", "f(x)y", (1, 4)), ("é1", "café1 É1", (3, 5)), ("ph", "a_PH", (2, 4)), ("PH", "qPH7", None), (" ", "a b", None)):
+        span = one(spark, text.first_span(F.col("t"), F.lit(needle)), t)
+        assert (span and (span["start"], span["end"])) == want, (needle, t)
     assert one(spark, text.span_matches(F.col("t"), F.lit(0), F.lit(5), F.lit("HELLO")), "hello x")
     assert not one(spark, text.span_matches(F.col("t"), F.lit(0), F.lit(6), F.lit("hello")), "hello x")
     for t, found in (("it is 4.0 here", True), ("it is 14", False), ("4.5", False), ("end 4.", True)):
@@ -40,7 +43,7 @@ def test_spans_numbers_and_locators(spark):
     assert one(spark, text.locator_parts(made), "a=b;c%") == {"page": "2", "section": "a=b;c%"}
 
 
-@pytest.mark.parametrize(("raw", "lo", "hi"), [("1,200.5", 1200.5, 1200.5), ("3 - 5", 3.0, 5.0), ("-2", -2.0, -2.0), ("about 3", None, None)])
+@pytest.mark.parametrize(("raw", "lo", "hi"), [("1,200.5", 1200.5, 1200.5), ("3 - 5", 3.0, 5.0), ("-2", -2.0, -2.0), ("about 3", None, None), ("1.5e-8", 1.5e-8, 1.5e-8), ("0.00000000001", 1e-11, 1e-11), ("1,234,567,890,123,456", 1234567890123456.0, 1234567890123456.0), ("1,2,3", None, None)])
 def test_raw_values(spark, raw, lo, hi):
     found = one(spark, units.raw_value(F.col("t")), raw)
     assert (found and (found["lo"], found["hi"])) == ((lo, hi) if lo is not None else None)
