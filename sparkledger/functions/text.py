@@ -105,8 +105,9 @@ def number_printed(text: Column, number: Column) -> Column:
 
 
 def value_present(text: Column, value: Column) -> Column:
-    """Whether a string value is contained in the text, both normalised."""
-    return F.coalesce(F.contains(normalized(text), normalized(value)), F.lit(False))
+    """Whether a value is in the text: a plain number as a token of its own, any other string as a part, both normalised."""
+    number = F.trim(value).rlike(r"^[0-9]+(\.[0-9]+)?$")
+    return F.coalesce(F.when(number, number_printed(text, F.trim(value))).otherwise(F.contains(normalized(text), normalized(value))), F.lit(False))
 
 
 def number_range(text: Column) -> Column:

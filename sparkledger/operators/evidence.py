@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalized
+from ..functions.text import normalized, value_present
 
 _GRAM = 4
 
@@ -19,18 +19,21 @@ def located_quotes(texts: DataFrame, quotes: DataFrame, *, text_id: str, text: s
     """(text_id, quote_id, start, end): first verbatim occurrence of every quote in every text that holds it.
 
     Never a nested loop: a quote of at least six words has an inner run of four whole words, which is joined to the runs of
-    four words of the texts; a shorter quote is joined by its first three characters.  Both joins are on a hash, and the
-    candidates are then verified by containment.  Quotes under three characters are not looked for."""
+    four words of the texts; a shorter quote is joined by its first three characters.  Both joins are on a hash and carry ids
+    only; each text then meets its distinct candidates, which are verified by containment.  Quotes under three characters are
+    not looked for.  Rows of one text id, null included, count as one text."""
     split = lambda c: F.split(c, r"\s")
     asked = quotes.select(F.col(quote_id).alias("_q"), F.col(quote).alias("_quote")).where(F.length("_quote") >= 3).withColumn("_w", split(F.col("_quote")))
     long = F.size("_w") >= _GRAM + 2
-    by_words = asked.where(long).select("_q", "_quote", F.xxhash64(F.array_join(F.slice("_w", 2, _GRAM), " ")).alias("_g"))
-    by_chars = asked.where(~long).select("_q", "_quote", F.xxhash64(F.left("_quote", F.lit(3))).alias("_g"))
+    by_words = asked.where(long).select("_q", F.xxhash64(F.array_join(F.slice("_w", 2, _GRAM), " ")).alias("_g"))
+    by_chars = asked.where(~long).select("_q", F.xxhash64(F.left("_quote", F.lit(3))).alias("_g"))
     held = texts.select(F.col(text_id).alias("_t"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
-    words = held.withColumn("_w", split(F.col("_text")))
-    word_runs = words.select("_t", "_text", F.explode(_grams(F.col("_w"), F.lit(0), F.size("_w") - _GRAM)).alias("_g"))
-    char_runs = held.select("_t", "_text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - 2, F.lit(1))), lambda i: F.xxhash64(F.substring(F.col("_text"), i, F.lit(3)))))).alias("_g"))
-    pairs = word_runs.join(by_words, "_g").unionByName(char_runs.join(by_chars, "_g"))
+    words = held.select("_t", split(F.col("_text")).alias("_w"))
+    word_runs = words.select("_t", F.explode(_grams(F.col("_w"), F.lit(0), F.size("_w") - _GRAM)).alias("_g"))
+    char_runs = held.select("_t", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - 2, F.lit(1))), lambda i: F.xxhash64(F.substring(F.col("_text"), i, F.lit(3)))))).alias("_g"))
+    met = word_runs.join(by_words, "_g").unionByName(char_runs.join(by_chars, "_g"))
+    named = met.select(F.col("_t").alias("_mt"), F.col("_q").alias("_mq")).distinct().join(asked.select("_q", "_quote"), F.col("_mq").eqNullSafe(F.col("_q")))
+    pairs = held.join(named, F.col("_t").eqNullSafe(F.col("_mt")))
     at = F.instr(F.col("_text"), F.col("_quote"))
     return pairs.where(at > 0).select(F.col("_t").alias(text_id), F.col("_q").alias(quote_id), (at - 1).alias("start"), (at - 1 + F.length("_quote")).alias("end"), "_text").dropDuplicates([text_id, quote_id]).withColumnRenamed("_text", "text")
 
@@ -88,10 +91,10 @@ def page_of_evidence(candidates: DataFrame, page_rows: DataFrame, keys: list[str
 
 
 def values_near(values: DataFrame, page_rows: DataFrame, keys: list[str], *, radius: int = 1) -> DataFrame:
-    """Adds present to (value_id, keys, page, value): whether a page within the radius holds the value, normalised."""
+    """Adds present to (value_id, keys, page, value): whether a page within the radius holds the value (see value_present)."""
     near = values.select("value_id", *keys, F.explode(F.sequence(F.col("page") - radius, F.col("page") + radius)).alias("page"), "value")
     met = near.join(page_rows.select(*keys, "page", F.col("text").alias("_page")), [*keys, "page"])
-    found = met.groupBy("value_id").agg(F.bool_or(F.contains(normalized(F.col("_page")), normalized(F.col("value")))).alias("present"))
+    found = met.groupBy("value_id").agg(F.bool_or(value_present(F.col("_page"), F.col("value"))).alias("present"))
     return values.join(found, "value_id", "left").withColumn("present", F.coalesce("present", F.lit(False)))
 
 

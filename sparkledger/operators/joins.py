@@ -31,14 +31,15 @@ def exactly_one(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
 def longest_prefix(rows: DataFrame, path: str, entries: DataFrame, source: str, separator: str = "/") -> DataFrame:
     """rows with the entry whose source equals the path or is its longest ancestor.
 
-    Each path is exploded into itself and its ancestors (as many as it has separators), which makes it an equi join."""
-    parts = F.split(F.col(path), separator)
+    Each distinct path is exploded into itself and its ancestors (as many as it has separators), which makes it an equi join;
+    rows take the entry of their path.  A null path has no entry."""
+    parts = F.split(F.col("_p"), separator)
     ancestors = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), separator))
-    keyed = rows.withColumn("_row", F.xxhash64(*rows.columns)).withColumn("_a", F.explode(ancestors))
-    met = keyed.join(entries.withColumnRenamed(source, "_a"), "_a").withColumn("_l", F.length("_a"))
+    paths = rows.select(F.col(path).alias("_p")).where("_p IS NOT NULL").distinct()
+    met = paths.withColumn("_a", F.explode(ancestors)).join(entries.withColumnRenamed(source, "_a"), "_a")
     rest = [c for c in entries.columns if c != source]
-    best = met.groupBy("_row").agg(F.max_by(F.struct(F.col("_a").alias(source), *rest), "_l").alias("_b"))
-    return rows.withColumn("_row", F.xxhash64(*rows.columns)).join(best, "_row", "left").select(*rows.columns, "_b.*")
+    best = met.groupBy("_p").agg(F.max_by(F.struct(F.col("_a").alias(source), *rest), F.length("_a")).alias("_b"))
+    return rows.join(best, F.col(path) == F.col("_p"), "left").select(*rows.columns, "_b.*")
 
 
 def code_of(text: Column, vocabulary: dict[str, list[str]]) -> Column:

@@ -16,7 +16,7 @@ _FILLS = ["schema_version", "run_id", "source_part", "grain", "record_id", "conf
 
 
 def _run(t: Tables) -> Run:
-    """Each benchmark text as candidates for the documents 0 to 299: with a hint that may be off, some twice, some odd."""
+    """Each benchmark text as candidates for the documents that hold it: with a hint that may be off, some twice, some odd."""
     found = E.located_quotes(t.documents, t.benchmark, text_id="doc_id", text="text", quote_id="item_id", quote="text")
     line = E.line_of(F.col("text"), F.col("start"))
     quote = F.get(F.split("text", "\n"), line - 1)

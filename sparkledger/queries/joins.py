@@ -56,11 +56,11 @@ def join_exactly_one(t: Tables) -> DataFrame:
     return J.exactly_one(t.customer.select("c_custkey"), parents, "c_custkey")
 
 
-@query("join_longest_prefix", "WITH e AS (SELECT * FROM (VALUES ('https:', 'any'), ('https://site1.example', 'one'), ('http:', 'plain')) v(source, target) UNION ALL SELECT DISTINCT regexp_extract(url, '^https?://[^/]+', 0), 'host' FROM pages WHERE page_id % 3 = 0), m AS (SELECT page_id, url, source, target, row_number() OVER (PARTITION BY page_id ORDER BY length(source) DESC) AS k FROM pages JOIN e ON url = source OR starts_with(url, source || '/')) SELECT p.page_id, m.source, m.target FROM pages p LEFT JOIN m ON m.page_id = p.page_id AND k = 1")
+@query("join_longest_prefix", "WITH e AS (SELECT * FROM (VALUES ('https:', 'any'), ('https://site1.example', 'one'), ('http:', 'plain')) v(source, target) UNION ALL SELECT DISTINCT regexp_extract(url, '^https?://[^/]+', 0), 'host' FROM pages WHERE contains(url, '/en/')), m AS (SELECT page_id, url, source, target, row_number() OVER (PARTITION BY page_id ORDER BY length(source) DESC) AS k FROM pages JOIN e ON url = source OR starts_with(url, source || '/')) SELECT p.page_id, m.source, m.target FROM pages p LEFT JOIN m ON m.page_id = p.page_id AND k = 1")
 def join_longest_prefix(t: Tables) -> DataFrame:
     """Foreign paths to the mapping entry that covers them best."""
     fixed = t.spark.createDataFrame([("https:", "any"), ("https://site1.example", "one"), ("http:", "plain")], "source string, target string")
-    hosts = t.pages.where("page_id % 3 = 0").select(F.regexp_extract("url", "^https?://[^/]+", 0).alias("source"), F.lit("host").alias("target")).distinct()
+    hosts = t.pages.where("contains(url, '/en/')").select(F.regexp_extract("url", "^https?://[^/]+", 0).alias("source"), F.lit("host").alias("target")).distinct()
     return J.longest_prefix(t.pages.select("page_id", "url"), "url", fixed.unionByName(hosts), "source").select("page_id", "source", "target")
 
 
@@ -94,13 +94,18 @@ def join_pairs(t: Tables) -> DataFrame:
     return pairs.select("l_partkey", "l_suppkey", F.col("left_l_returnflag").alias("left_flag"), F.col("right_l_returnflag").alias("right_flag"), "left_n", "right_n")
 
 
-_OLD = "SELECT o_custkey AS k, max(o_orderpriority) AS v FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1"
-_NEW = "SELECT o_custkey AS k, max(o_orderpriority) AS v FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1"
+_OLD = "SELECT o_custkey AS k, max(o_orderpriority) AS v FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1"
+_NEW = "SELECT o_custkey AS k, max(o_orderpriority) AS v FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY 1"
+
+
+def _halves(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return t.orders.where("o_orderdate < TIMESTAMP '1996-01-01'"), t.orders.where("o_orderdate >= TIMESTAMP '1996-01-01'")
 
 
 def _states(t: Tables) -> tuple[DataFrame, DataFrame]:
-    state = lambda n: t.orders.where(F.col("o_orderkey") % n == 0).groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("v"))
-    return state(2), state(3)
+    """The orders before a day and those from it on, as two states of the customers."""
+    state = lambda part: part.groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("v"))
+    return tuple(state(part) for part in _halves(t))
 
 
 @query("diff_fields", f"SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS change, o.v AS old_value, n.v AS new_value FROM ({_OLD}) o FULL JOIN ({_NEW}) n ON o.k = n.k WHERE o.v IS DISTINCT FROM n.v")
@@ -108,20 +113,20 @@ def diff_fields(t: Tables) -> DataFrame:
     return J.field_diff(*_states(t), "k", "v")
 
 
-@query("diff_release_step", f"WITH d AS (SELECT CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS change, n.v AS nv FROM ({_OLD}) o FULL JOIN ({_NEW}) n ON o.k = n.k WHERE o.v IS DISTINCT FROM n.v) SELECT count(*) FILTER (change = 'removed' OR (change = 'added' AND nv = '1-URGENT')) AS breaking, count(*) FILTER (change = 'added') AS added, count(*) AS changes, 'major' AS step FROM d")
+@query("diff_release_step", f"WITH d AS (SELECT CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS change, n.v AS nv FROM ({_OLD}) o FULL JOIN ({_NEW}) n ON o.k = n.k WHERE o.v IS DISTINCT FROM n.v) SELECT *, CASE WHEN breaking > 0 THEN 'major' WHEN added > 0 THEN 'minor' WHEN changes > 0 THEN 'patch' ELSE 'none' END AS step FROM (SELECT count(*) FILTER (change = 'removed' OR (change = 'added' AND nv = '1-URGENT')) AS breaking, count(*) FILTER (change = 'added') AS added, count(*) AS changes FROM d)")
 def diff_release_step(t: Tables) -> DataFrame:
     return J.release_change(J.field_diff(*_states(t), "k", "v"), required="1-URGENT")
 
 
-@query("diff_multisets", "SELECT o_orderpriority, o_orderstatus, greatest(sum(s), 0)::BIGINT AS gained, greatest(-sum(s), 0)::BIGINT AS lost FROM (SELECT o_orderpriority, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE 1 END AS s FROM orders) GROUP BY ALL HAVING sum(s) <> 0")
+@query("diff_multisets", "SELECT o_orderpriority, o_orderstatus, greatest(sum(s), 0)::BIGINT AS gained, greatest(-sum(s), 0)::BIGINT AS lost FROM (SELECT o_orderpriority, o_orderstatus, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN -1 ELSE 1 END AS s FROM orders) GROUP BY ALL HAVING sum(s) <> 0")
 def diff_multisets(t: Tables) -> DataFrame:
-    return J.count_diff(t.orders.where("o_orderkey % 2 = 0"), t.orders.where("o_orderkey % 2 = 1"), ["o_orderpriority", "o_orderstatus"])
+    return J.count_diff(*_halves(t), ["o_orderpriority", "o_orderstatus"])
 
 
-@query("diff_except_all", "SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 2 = 0 EXCEPT ALL SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey % 2 = 1")
+@query("diff_except_all", "SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal >= 4500 EXCEPT ALL SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 4500")
 def diff_except_all(t: Tables) -> DataFrame:
-    side = lambda r: t.customer.where(F.col("c_custkey") % 2 == r).select("c_nationkey", "c_mktsegment")
-    return side(0).exceptAll(side(1))
+    side = lambda which: t.customer.where(which).select("c_nationkey", "c_mktsegment")
+    return side("c_acctbal >= 4500").exceptAll(side("c_acctbal < 4500"))
 
 
 @query("set_operations", "SELECT s_nationkey AS k, 'both' AS side FROM supplier INTERSECT SELECT c_nationkey, 'both' FROM customer WHERE c_acctbal > 5000 UNION ALL SELECT * FROM (SELECT c_nationkey, 'only' FROM customer WHERE c_acctbal > 5000 EXCEPT SELECT s_nationkey, 'only' FROM supplier)")

@@ -57,20 +57,20 @@ def network_search(t: Tables) -> DataFrame:
     return t.part.where(F.col("p_size") > 20).where(F.contains(label(F.concat_ws(" ", "p_name", "p_brand", "p_type")), F.lit("brand#1"))).select("p_partkey")
 
 
-@query("manifest_join", "WITH d AS (SELECT sha256(text) AS digest, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1), m AS (SELECT doc_id AS run, sha256(text) AS digest FROM documents WHERE doc_id % 2 = 0) SELECT d.doc_id, d.copies, count(m.run) AS runs, CASE WHEN count(m.run) = 0 THEN 'no_run' ELSE 'run' END AS state FROM d LEFT JOIN m USING (digest) GROUP BY ALL")
+@query("manifest_join", "WITH d AS (SELECT sha256(text) AS digest, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1), m AS (SELECT l.doc_id AS run, sha256(text) AS digest FROM labels l JOIN documents USING (doc_id)) SELECT d.doc_id, d.copies, count(m.run) AS runs, CASE WHEN count(m.run) = 0 THEN 'no_run' ELSE 'run' END AS state FROM d LEFT JOIN m USING (digest) GROUP BY ALL")
 def manifest_join(t: Tables) -> DataFrame:
     """Files and runs by the digest of the file; files without a run stay."""
     keyed = t.documents.select("doc_id", F.sha2("text", 256).alias("digest"))
     files = keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    runs = keyed.where("doc_id % 2 = 0").groupBy("digest").agg(F.count(F.lit(1)).alias("runs"))
+    runs = keyed.join(t.labels.select("doc_id"), "doc_id").groupBy("digest").agg(F.count(F.lit(1)).alias("runs"))
     joined = files.join(runs, "digest", "left")
     return joined.select("doc_id", "copies", F.coalesce("runs", F.lit(0)).alias("runs"), F.when(F.col("runs").isNull(), "no_run").otherwise("run").alias("state"))
 
 
-@query("case_loader", "WITH l AS (SELECT l_partkey, arg_max(l_suppkey, (l_orderkey, l_linenumber, l_suppkey, l_shipdate)) AS supplier, count(*) AS n FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1) SELECT p_partkey, supplier, coalesce(n, 0) AS n, CASE WHEN supplier IS NULL THEN 'unlisted' ELSE 'listed' END AS origin FROM part LEFT JOIN l ON l_partkey = p_partkey")
+@query("case_loader", "WITH l AS (SELECT l_partkey, arg_max(l_suppkey, (l_orderkey, l_linenumber, l_suppkey, l_shipdate)) AS supplier, count(*) AS n FROM lineitem GROUP BY 1) SELECT p_partkey, supplier, coalesce(n, 0) AS n, CASE WHEN supplier IS NULL THEN 'unlisted' ELSE 'listed' END AS origin FROM part LEFT JOIN l ON l_partkey = p_partkey")
 def case_loader(t: Tables) -> DataFrame:
     """Records by id with the last one winning, joined to their papers; papers that are not listed are added."""
-    lines = t.lineitem.where("l_orderkey % 2 = 0").select("l_partkey", F.col("l_suppkey").alias("supplier"), F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate").alias("o"))
+    lines = t.lineitem.select("l_partkey", F.col("l_suppkey").alias("supplier"), F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate").alias("o"))
     last = last_by(lines, ["l_partkey"], "o").join(lines.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")), "l_partkey").select("l_partkey", "supplier", "n", F.lit("listed").alias("origin"))
     rows = t.part.select("p_partkey").join(last, F.col("p_partkey") == F.col("l_partkey"), "left")
     return rows.select("p_partkey", "supplier", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("origin", F.lit("unlisted")).alias("origin"))

@@ -140,3 +140,24 @@ def test_differences(spark):
     diff = joins.field_diff(old, new, "k", "v")
     assert {(r["k"], r["change"]) for r in diff.collect()} == {("a", "removed"), ("b", "changed"), ("c", "added")}
     assert joins.release_change(diff).first()["step"] == "major"
+
+
+def test_longest_prefix_keeps_repeated_rows_and_null_paths(spark):
+    rows = spark.createDataFrame([("a/b/c", 1), ("a/b/c", 1), ("a/x", 2), ("ab", 3), (None, 4), ("", 5)], "path string, n int")
+    entries = spark.createDataFrame([("a", "one"), ("a/b", "two")], "source string, target string")
+    got = sorted((r["n"], r["source"], r["target"]) for r in joins.longest_prefix(rows, "path", entries, "source").collect())
+    assert got == [(1, "a/b", "two"), (1, "a/b", "two"), (2, "a", "one"), (3, None, None), (4, None, None), (5, None, None)]
+
+
+def test_located_quotes_equal_containment(spark):
+    texts = [(1, "one two three four five six seven"), (2, "two three four five six sevens"), (None, "a cat sat"), (4, ""), (5, None), (6, "cat cat")]
+    quotes = [(1, "two three four five six seven"), (2, "cat"), (3, "at"), (None, " sat"), (5, None), (6, "one two three four five six seven eight")]
+    got = evidence.located_quotes(spark.createDataFrame(texts, "i long, t string"), spark.createDataFrame(quotes, "q long, s string"), text_id="i", text="t", quote_id="q", quote="s")
+    want = {(i, q, t.index(s), t.index(s) + len(s)) for i, t in texts for q, s in quotes if t and s and len(s) >= 3 and s in t}
+    assert {(r["i"], r["q"], r["start"], r["end"]) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_numbers_are_present_as_tokens(spark):
+    present = lambda t, v: one(spark, text.value_present(F.lit(t), F.lit(v)))
+    assert [present(t, "1") for t in ("21 rows", "1 row", "row 1.", "1.5", None)] == [False, True, True, False, False]
+    assert present("Plant  Height", "plant height") and not present("x", None)
