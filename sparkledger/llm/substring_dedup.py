@@ -10,12 +10,15 @@ not sorted together; what must meet is brought together by content:
    contexts of one anchor are to be compared.
 3. The bytes of these, from their texts, are gathered by anchor.  A task joins the contexts of many anchors, sorts their
    suffixes in two stages and computes adjacent common prefixes; windows in a stretch of common prefixes of at least
-   ``WINDOW`` bytes that holds two occurrences are repeated.  Common prefixes are of bytes: nothing rests on a hash here.
+   ``WINDOW`` bytes that holds two occurrences are repeated.  Common prefixes are of bytes.
 4. An anchor with more than ``CROWD`` different contexts (a passage in very many documents differs at its edges) would make
    one task's share grow with the corpus.  Its windows are compared by their 128-bit digests instead, in an aggregation
    that is combined before the shuffle.
 5. Removed ranges are merged for each text and cut out of it.
 
+What rests on a hash: a text is known by 64 bits of its SHA-256 up to step 5 and by all of it from there; in step 2, contexts
+of one anchor are equal if 64 bits of theirs are; the digests of step 4.
+
 Equal texts are one text with copies: they are removed whole (if they have a window at all).
 
 Defined cases: a null text is empty; texts under ``WINDOW`` bytes stay; null and repeated ids are rows like any other (only
@@ -355,20 +358,18 @@ def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     copies = rows.groupBy("sha").count().where("count > 1").select("sha", F.lit(True).alias("copied"))
     rows = rows.join(copies, "sha", "left")
     whole = F.col("copied").isNotNull() & (F.col("n_bytes") >= WINDOW)
-    wanted = rows.where("copied IS NULL").select(F.col("doc_id").alias("id"), "owner").join(removed_ranges(plain), "owner")
+    wanted = rows.where("copied IS NULL").select("sha", "owner").join(removed_ranges(plain), "owner").select("sha", "ranges")
 
     def cut(batch: pa.RecordBatch):
-        out: list[list] = [[], [], [], [], []]
-        for doc_id, owner, ranges, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            raw = text.encode()
-            if int.from_bytes(hashlib.sha256(raw).digest()[:8], "little", signed=True) == owner:  # not another row of a repeated id
-                n, spans, rest = kept(raw, ranges)
-                for col, x in zip(out, (doc_id, owner, n, spans, hashlib.sha256(rest).hexdigest()), strict=True):
-                    col.append(x)
-        yield dict(zip(("id", "own", "n", "spans", "rest"), out, strict=True))
-
-    joined = wanted.join(plain, F.col("id").eqNullSafe(F.col("doc_id"))).select("id", "owner", "ranges", "text")
-    cuts = map_batches(joined, cut, "id long, own long, n long, spans long, rest string")
-    done = rows.join(cuts, rows["doc_id"].eqNullSafe(cuts["id"]) & (rows["owner"] == cuts["own"]) & rows["copied"].isNull(), "left")
+        out: list[list] = [[], [], [], []]
+        for sha, ranges, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            n, spans, rest = kept(text.encode(), ranges)
+            for col, x in zip(out, (sha, n, spans, hashlib.sha256(rest).hexdigest()), strict=True):
+                col.append(x)
+        yield dict(zip(("sha", "n", "spans", "rest"), out, strict=True))
+
+    # texts meet their ranges by their digest, which one text alone has here, so ids may be repeated or missing
+    joined = plain.select(F.sha2("text", 256).alias("sha"), "text").join(wanted, "sha").select("sha", "ranges", "text")
+    done = rows.join(map_batches(joined, cut, "sha string, n long, spans long, rest string"), "sha", "left")
     empty = F.sha2(F.lit(""), 256)
     return done.select("doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n", F.lit(0))).alias("n_removed"), F.when(whole, 1).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"), F.when(whole, empty).otherwise(F.coalesce("rest", "sha")).alias("kept_sha256"))

@@ -182,6 +182,9 @@ def test_substring_dedup_against_window_table(spark, monkeypatch):
             want.append((r[0], len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()))
         got = substring_dedup.deduplicated(with_extra(frame(spark)).repartition(3))
         assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(want, key=str)
+    for doc_id in (None, 7):  # many texts of no id, or of one
+        got = substring_dedup.deduplicated(frame(spark, [(doc_id, *r[1:]) for r in rows]))
+        assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(((doc_id, *w[1:]) for w in want), key=str)
 
 
 @pytest.mark.parametrize("text", [b"banana", b"mississippi", b"aaaaaaaa", b"abcabcabc", b"", b"z", b"edcba" * 30, bytes(range(256)) * 3])
