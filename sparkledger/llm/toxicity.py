@@ -125,10 +125,11 @@ def held_out(id_col: str = "doc_id") -> Column:
 def labelled(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(text, toxic, part) of the rows that may be learned from; part 0 is for calibration.
 
-    Ids meet first, so that only texts with a label move; the result is a table, since it is read three times."""
+    Texts outside the held-out fold move by their id once, at every size alike (labels grow with the texts, so they are never
+    sent to all tasks); the result is a table, since it is read three times."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("labelled_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
     rows = text_column(docs, text_col).where(~held_out(id_col)).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    met = rows.join(known, F.col("id") == F.col("labelled_id"))
+    met = rows.join(known.hint("merge"), F.col("id") == F.col("labelled_id"))
     return stored(met.select("text", "toxic", F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int").alias("part")), "labelled")
 
 
