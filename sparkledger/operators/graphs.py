@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 DEPTH = 3
 
 
-def reachable(edges: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(start, node, depth): nodes within so many steps, each at its least depth (visited set, breadth first)."""
-    level = edges.select(F.col("s").alias("start"), F.col("o").alias("node")).distinct().where("start <> node").withColumn("depth", F.lit(1))
+def reachable(edges: DataFrame, depth: int = DEPTH, starts: DataFrame | None = None) -> DataFrame:
+    """(start, node, depth): nodes within so many steps, each at its least depth (visited set, breadth first); from the
+    given starts (start), or from all."""
+    first = edges if starts is None else edges.join(starts.select(F.col("start").alias("s")), "s", "left_semi")
+    level = first.select(F.col("s").alias("start"), F.col("o").alias("node")).distinct().where("start <> node").withColumn("depth", F.lit(1))
     found = level
     for d in range(2, depth + 1):
         step = level.join(edges.withColumnRenamed("s", "node"), "node").select("start", F.col("o").alias("node")).where("start <> node").distinct()
@@ -60,22 +62,51 @@ def argument_audit(elements: DataFrame, edges: DataFrame, names: list[str], dept
 def topological_layers(nodes: DataFrame, edges: DataFrame, store) -> DataFrame:
     """(node, layer, cyclic): the layer is the length of the longest dependency path; nodes on a cycle or behind one have none.
 
-    edges (s, o): s needs o; edges to nodes outside the table do not block.  One round for each layer: nodes with an open
-    dependency are counted by an aggregate, and the state goes to a table (store: a function that writes and rereads)."""
-    inside = edges.join(nodes.select(F.col("node").alias("o")), "o", "left_semi").join(nodes.select(F.col("node").alias("s")), "s", "left_semi").where("s <> o").distinct()
-    loops = edges.where("s = o").select(F.col("s").alias("node")).distinct()
-    state = store(nodes.select("node").distinct().join(loops.withColumn("_l", F.lit(True)), "node", "left").select("node", F.lit(None).cast("int").alias("layer"), F.coalesce("_l", F.lit(False)).alias("looped")))
-    layer = 0
-    while True:
-        waiting = inside.join(state.where("layer IS NULL").select(F.col("node").alias("o")), "o", "left_semi").select(F.col("s").alias("node")).distinct()
-        ready = state.where("layer IS NULL AND NOT looped").join(waiting, "node", "left_anti").select("node", F.lit(layer).alias("_n"))
-        after = store(state.join(ready, "node", "left").select("node", F.coalesce("layer", "_n").alias("layer"), "looped"))
-        if after.where(F.col("layer") == layer).isEmpty():
-            return after.select("node", "layer", F.col("layer").isNull().alias("cyclic"))
-        state, layer = after, layer + 1
+    edges (s, o): s needs o; edges to nodes outside the table do not block.  The graph of open nodes is contracted: a node
+    without open needs is settled, and one with a single need o is the function max(bound, layer(o) + weight), which is put
+    in place of the node wherever it is needed itself.  Such functions compose to one of their kind, so what a chain hangs on
+    is twice as far away after each round, and a chain of n steps takes about log2(n) rounds.  A dependency on itself, or a
+    path longer than there are nodes, is a cycle.  Each round goes to a table (store: a function that writes and rereads)."""
+    kept = nodes.select("node").where("node IS NOT NULL").distinct()
+    inside = edges.join(kept.select(F.col("node").alias("o")), "o", "left_semi").join(kept.select(F.col("node").alias("s")), "s", "left_semi")
+    # a row is a need (o, w), or none (o is null); bound: what the node's layer is at least; dead: it hangs on a cycle
+    needs = inside.groupBy("s", "o").agg(F.lit(1).cast("long").alias("w")).select(F.col("s").alias("node"), "o", "w", F.lit(0).cast("long").alias("bound"), (F.col("s") == F.col("o")).alias("dead"))
+    free = kept.join(needs.select("node").distinct(), "node", "left_anti")
+    settled = [free.select("node", F.lit(0).alias("layer"))]
+    # nodes that need nothing are settled from the start, so the rounds carry open ones alone
+    met = needs.join(free.select(F.col("node").alias("o"), F.lit(True).alias("_free")), "o", "left")
+    state = store(met.select("node", F.when(F.col("_free").isNull(), F.col("o")).alias("o"), F.when(F.col("_free").isNull(), F.col("w")).alias("w"), F.when(F.col("_free"), F.col("w")).otherwise(F.lit(0)).cast("long").alias("bound"), "dead"))
+    longest = state.select("node").distinct().count()
+    rows_left = longest
+    while rows_left:
+        own = state.groupBy("node").agg(F.count("o").alias("needs"), F.max("o").alias("q"), F.max("w").alias("wq"), F.max("bound").alias("bound"), F.bool_or("dead").alias("dead"))
+        own = store(own)
+        settled.append(own.where("NOT dead AND needs = 0").select("node", F.col("bound").cast("int").alias("layer")))
+        settled.append(own.where("dead").select("node", F.lit(None).cast("int").alias("layer")))
+        open_nodes = own.where("NOT dead AND needs > 0")
+        gone = own.where("dead OR needs = 0")
+        # a need of a node that leaves with this round is not handed on
+        single = own.where("NOT dead AND needs = 1").join(gone.select(F.col("node").alias("q")), "q", "left_anti").select(own.columns)
+        known = gone.unionByName(single).select(F.col("node").alias("o"), F.col("needs").alias("_n"), F.col("q").alias("_q"), F.col("wq").alias("_w"), F.col("bound").alias("_b"), F.col("dead").alias("_d"))
+        rows = state.where("o IS NOT NULL").select("node", "o", "w").join(open_nodes.select("node"), "node", "left_semi").join(known, "o", "left")
+        put, lost = F.coalesce(F.col("_n") == 1, F.lit(False)) & ~F.coalesce("_d", F.lit(False)), F.coalesce("_d", F.lit(False))
+        target = F.when(F.col("_n").isNull(), F.col("o")).when(put, F.col("_q"))
+        weight = F.when(F.col("_n").isNull(), F.col("w")).when(put, F.col("w") + F.col("_w"))
+        rows = rows.select("node", target.alias("o"), weight.alias("w"), F.when(F.col("_n").isNotNull() & ~lost, F.col("w") + F.col("_b")).otherwise(F.lit(0)).alias("bound"), lost.alias("dead"), F.col("_n").isNotNull().alias("moved"))
+        rows = rows.withColumn("dead", F.col("dead") | F.coalesce((F.col("o") == F.col("node")) | (F.col("w") > longest), F.lit(False)))
+        after = rows.unionByName(open_nodes.select("node", F.lit(None).cast(dict(state.dtypes)["o"]).alias("o"), F.lit(None).cast("long").alias("w"), "bound", "dead", F.lit(False).alias("moved")))
+        after = store(after.groupBy("node", "o").agg(F.max("w").alias("w"), F.max("bound").alias("bound"), F.bool_or("dead").alias("dead"), F.bool_or("moved").alias("moved")))
+        rows_left, moved = after.agg(F.count(F.lit(1)), F.bool_or("moved")).first()
+        if not moved and gone.isEmpty():  # what is open needs open nodes that no round can settle
+            settled.append(open_nodes.select("node", F.lit(None).cast("int").alias("layer")))
+            break
+        state = after
+    found = settled[0]
+    for more in settled[1:]:
+        found = found.unionByName(more)
+    return found.select("node", "layer", F.col("layer").isNull().alias("cyclic"))
 
 
 def hypothesis_traces(starts: DataFrame, edges: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(start, records): what a hypothesis reaches, in order of depth and id."""
-    met = reachable(edges.join(starts.select(F.col("start").alias("s")), "s", "left_semi").unionByName(edges.join(starts.select(F.col("start").alias("s")), "s", "left_anti")), depth)
-    return met.join(starts.select("start"), "start", "left_semi").groupBy("start").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda x: x["node"]).alias("records"))
+    return reachable(edges, depth, starts).groupBy("start").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda x: x["node"]).alias("records"))
