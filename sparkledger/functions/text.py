@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -15,20 +16,20 @@ _QUOTES = {"‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"
 _TABLE = str.maketrans({**dict.fromkeys(_DASHES, "-"), **_QUOTES, "\u00ad": ""})
 
 
-@F.pandas_udf(T.StringType())
-def normalized_exact(text: pd.Series) -> pd.Series:
-    """Compatibility form, joined line breaks at hyphens, plain dashes and quotes, single spaces, case folded."""
-    import re
+_BROKEN = re.compile(r"(?<=\w)-\s*\n\s*(?=\w)")
 
-    broken = re.compile(r"(?<=\w)-\s*\n\s*(?=\w)")
 
-    def one(t: str | None) -> str | None:
-        if t is None:
-            return None
-        t = broken.sub("", unicodedata.normalize("NFKC", t)).translate(_TABLE)
-        return " ".join(t.split()).casefold()
+def exact_form(text: str | None) -> str | None:
+    """Compatibility form, joined line breaks at hyphens, plain dashes and quotes, single spaces, case folded."""
+    if text is None:
+        return None
+    return " ".join(_BROKEN.sub("", unicodedata.normalize("NFKC", text)).translate(_TABLE).split()).casefold()
 
-    return text.map(one)
+
+@F.pandas_udf(T.StringType())
+def normalized_exact(text: pd.Series) -> pd.Series:
+    """``exact_form`` of each text."""
+    return text.map(exact_form)
 
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("places", T.ArrayType(T.IntegerType()))]))

@@ -1,6 +1,6 @@
 """Queries of the engine over the test tables."""
 
-from . import aggregates, evidence, extraction, joins, reports, rules, streams, views, workflows
+from . import aggregates, evidence, extraction, joins, markers, reports, rules, streams, views, workflows
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregates", "evidence", "extraction", "joins", "reports", "rules", "streams", "views", "workflows"]
+__all__ = ["QUERIES", "SQL", "aggregates", "evidence", "extraction", "joins", "markers", "reports", "rules", "streams", "views", "workflows"]
