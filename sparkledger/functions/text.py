@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,12 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Characters that normalisation maps to plain ones: dashes, quotes (fixed values).
-_DASHES = "‐‑‒–—―−"
-_QUOTES = {"‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"'}
+_DASHES = "‐‑‒–—−"
+_QUOTES = {"‘": "'", "’": "'", "“": '"', "”": '"'}
 _TABLE = str.maketrans({**dict.fromkeys(_DASHES, "-"), **_QUOTES, "\u00ad": ""})
 
 
 _BROKEN = re.compile(r"(?<=\w)-\s*\n\s*(?=\w)")
+#: Characters on which the JVM's form is the exact one (tests compare the two over all of Unicode): ASCII, Latin letters without
+#: compatibility forms, plain signs, CJK ideographs and kana.
+_PROVEN = r"\t-\r -~¡-§©«¬\u00AD®°±¶·»¿-įĴ-ľŁ-ňŊ-žƀ-ƃ‐-—‘’“”−一-鿿ぁ-ゖァ-ヺ、。《》"
 
 
 def exact_form(text: str | None) -> str | None:
@@ -64,13 +68,20 @@ def normalized_with_map(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"text": [r[0] for r in rows], "places": [r[1] for r in rows]})
 
 
-def normalized(text: Column) -> Column:
-    """The JVM path of normalisation, equal to ``normalized_exact`` on text without compatibility characters."""
+def normalized_plain(text: Column) -> Column:
+    """The JVM's form, equal to ``exact_form`` on proven characters."""
     joined = F.regexp_replace(text, r"(?U)(?<=\w)-\s*\n\s*(?=\w)", "")
     plain = F.translate(joined, _DASHES + "".join(_QUOTES) + "\u00ad", "-" * len(_DASHES) + "".join(_QUOTES.values()))
     return F.replace(F.lower(F.trim(F.regexp_replace(plain, r"(?U)\s+", " "))), F.lit("ß"), F.lit("ss"))
 
 
+def normalized(text: Column) -> Column:
+    """``exact_form`` as a Column: on the JVM where all characters are proven, else by the exact kernel, to which the other
+    rows go as nulls."""
+    other = F.regexp_like(text, F.lit(f"[^{_PROVEN}]"))
+    return F.when(other, normalized_exact(F.when(other, text))).otherwise(normalized_plain(text))
+
+
 def label(text: Column) -> Column:
     """White space collapsed, lower case: the form in which labels of the network are compared."""
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
@@ -91,24 +102,49 @@ def first_span(text: Column, needle: Column) -> Column:
     return F.when(found, F.struct(cut(1).alias("start"), (cut(1) + cut(2)).alias("end")))
 
 
-def span_matches(text: Column, start: Column, end: Column, mention: Column) -> Column:
-    """Whether a span lies inside the text, is trimmed, and normalises to the mention."""
+def span_matches(text: Column, start: Column, end: Column, mention: Column, form: Callable[[Column], Column] = normalized) -> Column:
+    """Whether a span lies inside the text, is trimmed, and normalises to the mention (inside a lambda, where no Python kernel
+    can run, form must be ``normalized_plain``)."""
     inside = (start >= 0) & (start < end) & (end <= F.length(text))
     cut = F.substring(text, start + 1, end - start)
-    return F.coalesce(inside & (cut == F.trim(cut)) & (normalized(cut) == normalized(mention)), F.lit(False))
+    return F.coalesce(inside & (cut == F.trim(cut)) & (form(cut) == form(mention)), F.lit(False))
+
+
+def _forms(number: Column) -> list[Column]:
+    """How a number is printed: with its decimals, or a whole one first with one zero and then without; as patterns."""
+    digits = number.try_cast("decimal(38,15)").cast("string")
+    plain = F.coalesce(F.regexp_replace(F.regexp_replace(digits, r"0+$", ""), r"\.$", ""), number.cast("string"))
+    whole = ~F.contains(plain, F.lit("."))
+    escaped = F.replace(F.replace(plain, F.lit("."), F.lit(r"\.")), F.lit("+"), F.lit(r"\+"))
+    return [F.concat(escaped, F.when(whole, r"\.0").otherwise(""), F.lit("0*")), F.when(whole, escaped)]
+
+
+def number_span(text: Column, number: Column) -> Column:
+    """struct<start, end> of a number where it is printed as one of its own; null if it isn't.
+
+    Zeros after decimals don't matter (23.5 is found in 23.50); a part of a longer number is none (8 in 8.6, 536 in 1,536)."""
+    spans = []
+    for form in _forms(number.cast("double")):
+        pattern = F.concat(F.lit(r"(?s)^(.*?)(?<![\p{Nd}.])(?<!\p{Nd},)("), form, F.lit(r")(?!\p{Nd}|[.,]\p{Nd})"))
+        cut = lambda group, p=pattern: F.length(F.call_function("regexp_extract", text, p, F.lit(group)))
+        spans.append(F.when(cut(2) > 0, F.struct(cut(1).alias("start"), (cut(1) + cut(2)).alias("end"))))
+    return F.coalesce(*spans)
 
 
 def number_printed(text: Column, number: Column) -> Column:
-    """Whether a number is in the text as a token of its own (not part of a longer one; trailing zeros do not count)."""
-    plain = F.regexp_replace(number.cast("string"), r"\.0+$", "")
-    pattern = F.concat(F.lit(r"(^|[^0-9.])"), F.regexp_replace(plain, r"\.", r"\\."), F.lit(r"(\.0+)?($|[^0-9.]|\.($|[^0-9]))"))
-    return F.coalesce(F.regexp_like(text, pattern), F.lit(False))
+    """Whether a number is in the text as one of its own (see ``number_span``)."""
+    return number_span(text, number).isNotNull()
 
 
 def value_present(text: Column, value: Column) -> Column:
-    """Whether a value is in the text: a plain number as a token of its own, any other string as a part, both normalised."""
-    number = F.trim(value).rlike(r"^[0-9]+(\.[0-9]+)?$")
-    return F.coalesce(F.when(number, number_printed(text, F.trim(value))).otherwise(F.contains(normalized(text), normalized(value))), F.lit(False))
+    """Whether a value is in the text, both normalised: a plain number as one of its own (zeros after decimals don't matter, a
+    comma before it does not make it longer), any other string as a part."""
+    plain, hay = F.trim(value), normalized(text)
+    number = plain.rlike(r"^[0-9]+(\.[0-9]+)?$")
+    short = F.regexp_replace(F.regexp_replace(plain, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    form = F.concat(F.replace(short, F.lit("."), F.lit(r"\.")), F.when(F.contains(short, F.lit(".")), "0*").when(F.contains(plain, F.lit(".")), r"(?:\.0+)?").otherwise(""))
+    printed = F.regexp_like(hay, F.concat(F.lit(r"(?<![0-9.])"), form, F.lit(r"(?!\.?[0-9])")))
+    return F.coalesce(F.when(number, printed).otherwise(F.contains(hay, normalized(value))), F.lit(False))
 
 
 def number_range(text: Column) -> Column:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalized, value_present
+from ..functions.text import normalized, normalized_with_map, value_present
 
 _GRAM = 4
+#: Runs of quotes that are sent to all tasks, at most; more of them are shuffled with the runs of the texts.
+SENT_RUNS = 200_000
 
 
 def _grams(words: Column, first: Column, last: Column) -> Column:
@@ -20,8 +22,9 @@ def located_quotes(texts: DataFrame, quotes: DataFrame, *, text_id: str, text: s
 
     Never a nested loop: a quote of at least six words has an inner run of four whole words, which is joined to the runs of
     four words of the texts; a shorter quote is joined by its first three characters.  Both joins are on a hash and carry ids
-    only; each text then meets its distinct candidates, which are verified by containment.  Quotes under three characters are
-    not looked for.  Rows of one text id, null included, count as one text."""
+    only; each text then meets its distinct candidates, which are verified by containment.  A kind of runs that no quote has is
+    not made, and few quotes (their number is counted first) are sent to the texts, so that only hits are shuffled.  Quotes
+    under three characters are not looked for.  Rows of one text id, null included, count as one text: the least start counts."""
     split = lambda c: F.split(c, r"\s")
     asked = quotes.select(F.col(quote_id).alias("_q"), F.col(quote).alias("_quote")).where(F.length("_quote") >= 3).withColumn("_w", split(F.col("_quote")))
     long = F.size("_w") >= _GRAM + 2
@@ -31,11 +34,16 @@ def located_quotes(texts: DataFrame, quotes: DataFrame, *, text_id: str, text: s
     words = held.select("_t", split(F.col("_text")).alias("_w"))
     word_runs = words.select("_t", F.explode(_grams(F.col("_w"), F.lit(0), F.size("_w") - _GRAM)).alias("_g"))
     char_runs = held.select("_t", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - 2, F.lit(1))), lambda i: F.xxhash64(F.substring(F.col("_text"), i, F.lit(3)))))).alias("_g"))
-    met = word_runs.join(by_words, "_g").unionByName(char_runs.join(by_chars, "_g"))
+    n_words, n_chars = asked.agg(F.coalesce(F.sum(long.cast("long")), F.lit(0)), F.coalesce(F.sum((~long).cast("long")), F.lit(0))).first()
+    sides = [(word_runs, by_words, n_words), (char_runs, by_chars, n_chars)]
+    found = [runs.join(F.broadcast(own) if n <= SENT_RUNS else own, "_g") for runs, own, n in sides if n] or [word_runs.join(by_words, "_g")]
+    met = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     named = met.select(F.col("_t").alias("_mt"), F.col("_q").alias("_mq")).distinct().join(asked.select("_q", "_quote"), F.col("_mq").eqNullSafe(F.col("_q")))
     pairs = held.join(named, F.col("_t").eqNullSafe(F.col("_mt")))
     at = F.instr(F.col("_text"), F.col("_quote"))
-    return pairs.where(at > 0).select(F.col("_t").alias(text_id), F.col("_q").alias(quote_id), (at - 1).alias("start"), (at - 1 + F.length("_quote")).alias("end"), "_text").dropDuplicates([text_id, quote_id]).withColumnRenamed("_text", "text")
+    spans = pairs.where(at > 0).select("_t", "_q", F.struct((at - 1).alias("start"), (at - 1 + F.length("_quote")).alias("end"), F.col("_text").alias("text")).alias("_s"))
+    least = spans.groupBy("_t", "_q").agg(F.min("_s").alias("_s"))
+    return least.select(F.col("_t").alias(text_id), F.col("_q").alias(quote_id), "_s.start", "_s.end", "_s.text")
 
 
 def line_of(text: Column, start: Column) -> Column:
@@ -77,7 +85,8 @@ def page_of_evidence(candidates: DataFrame, page_rows: DataFrame, keys: list[str
     radius (the lower one first), else none.  The join is on the keys and one of the 2 * radius + 1 pages."""
     steps = [s for d in range(radius + 1) for s in ((-d, d) if d else (0,))]
     near = candidates.select("candidate", *keys, "quote", "hint", F.posexplode(F.array(*(F.col("hint") + s for s in steps))).alias("_rank", "page"))
-    met = near.join(page_rows.select(*keys, "page", F.col("text").alias("_page")), [*keys, "page"]).where(F.contains(normalized(F.col("_page")), normalized(F.col("quote"))))
+    near = near.withColumn("_quote", normalized(F.col("quote")))
+    met = near.join(page_rows.select(*keys, "page", normalized(F.col("text")).alias("_page")), [*keys, "page"]).where(F.contains("_page", F.col("_quote")))
     best = met.groupBy("candidate").agg(F.min_by("page", "_rank").alias("page_found"))
     judged = candidates.join(best, "candidate", "left")
     code = (
@@ -90,6 +99,29 @@ def page_of_evidence(candidates: DataFrame, page_rows: DataFrame, keys: list[str
     return judged.withColumn("code", code)
 
 
+def located_evidence(candidates: DataFrame, page_rows: DataFrame, keys: list[str], *, radius: int = 1, shortest: int = 3) -> DataFrame:
+    """(candidate, page, start, end, corrected): where the quote of (candidate, keys, quote, hint) stands, in code points of the
+    page's own text; candidates that are not found are left out.
+
+    With a hint on an existing page, that page counts first, then the nearest within the radius, the lower one before the
+    higher; without one all pages of the document do, from the first.  Quotes whose normal form has fewer than ``shortest``
+    characters are not looked for.  Each page and each quote is normalised once; of rows of one page the least text counts."""
+    made = page_rows.groupBy(*keys, "page").agg(F.min("text").alias("_text")).withColumn("_m", normalized_with_map("_text"))
+    own = made.select(*keys, "page", F.col("_m.text").alias("_page"), F.col("_m.places").alias("_places"))
+    last = page_rows.groupBy(*keys).agg(F.max("page").alias("_last"))
+    asked = candidates.select("candidate", *keys, "hint", normalized_with_map("quote").alias("_m")).select("candidate", *keys, "hint", F.col("_m.text").alias("_q")).where(F.length("_q") >= shortest)
+    asked = asked.join(last, keys)
+    hinted = F.coalesce((F.col("hint") >= 1) & (F.col("hint") <= F.col("_last")), F.lit(False))
+    steps = [s for d in range(radius + 1) for s in ((-d, d) if d else (0,))]
+    near = asked.where(hinted).select("candidate", *keys, "hint", "_q", F.posexplode(F.array(*(F.col("hint") + s for s in steps))).alias("_rank", "page")).join(own, [*keys, "page"])
+    far = asked.where(~hinted).join(own, keys).withColumn("_rank", F.col("page"))
+    both = near.unionByName(far, allowMissingColumns=True)
+    at = F.instr(F.col("_page"), F.col("_q"))
+    met = both.where(at > 0).select("candidate", "hint", "page", F.col("_rank").cast("int").alias("_rank"), F.get("_places", at - 1).alias("start"), (F.get("_places", at + F.length("_q") - 2) + 1).alias("end"))
+    best = met.groupBy("candidate").agg(F.min_by(F.struct("page", "start", "end", "hint"), "_rank").alias("b"))
+    return best.select("candidate", "b.page", "b.start", "b.end", F.coalesce(F.col("b.hint") != F.col("b.page"), F.lit(False)).alias("corrected"))
+
+
 def values_near(values: DataFrame, page_rows: DataFrame, keys: list[str], *, radius: int = 1) -> DataFrame:
     """Adds present to (value_id, keys, page, value): whether a page within the radius holds the value (see value_present)."""
     near = values.select("value_id", *keys, F.explode(F.sequence(F.col("page") - radius, F.col("page") + radius)).alias("page"), "value")

@@ -90,10 +90,10 @@ def violations(rule: dict, schema: T.StructType) -> list[tuple[Column, Column]]:
         expected = F.try_element_at(grains, F.col(rule["kind_field"]))
         return [(F.coalesce(expected.isNotNull() & (F.col(rule["field"]) != expected), F.lit(False)), F.lit(rule["field"]))]
     if kind == "offsets_match_text":
-        from ..functions.text import span_matches
+        from ..functions.text import normalized_plain, span_matches
 
         text = F.col(rule["text"])
-        bad = F.exists(F.coalesce(F.col(rule["field"]), F.array().cast(type_of(schema, rule["field"]))), lambda m: m["start"].isNotNull() & ~span_matches(text, m["start"], m["end"], m["mention"]))
+        bad = F.exists(F.coalesce(F.col(rule["field"]), F.array().cast(type_of(schema, rule["field"]))), lambda m: m["start"].isNotNull() & ~span_matches(text, m["start"], m["end"], m["mention"], normalized_plain))
         return [(text.isNotNull() & bad, F.lit(rule["field"]))]
     raise ValueError(f"{kind} is not a record rule")
 

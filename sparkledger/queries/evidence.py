@@ -69,6 +69,16 @@ def evidence_page_correction(t: Tables) -> DataFrame:
     return found.select("candidate", "hint", "page_found", "code")
 
 
+_SPOT = "regexp_extract(p.text, '(?is)^(.*?)(' || replace(regexp_escape(trim(regexp_replace(c.quote, '\\s+', ' ', 'g'))), '\\ ', '\\s+') || ')', {0})"
+
+
+@query("evidence_offsets", _HITS + f"p AS ({_PAGES}), h AS (SELECT candidate, doc_id, quote, CASE WHEN hint % 3 = 0 THEN NULL ELSE hint END AS hint FROM c), l AS (SELECT doc_id, max(page) AS last FROM p GROUP BY 1), n AS (SELECT c.candidate, c.hint, p.page, CAST(length({_SPOT.format(1)}) AS INTEGER) AS start, CAST(length({_SPOT.format(1)}) + length({_SPOT.format(2)}) AS INTEGER) AS \"end\", row_number() OVER (PARTITION BY c.candidate ORDER BY CASE WHEN c.hint BETWEEN 1 AND last THEN abs(p.page - c.hint) ELSE 0 END, p.page) AS k FROM h c JOIN l ON l.doc_id = c.doc_id JOIN p ON p.doc_id = c.doc_id AND (c.hint IS NULL OR c.hint NOT BETWEEN 1 AND last OR p.page BETWEEN c.hint - 1 AND c.hint + 1) WHERE length(trim(c.quote)) >= 3 AND {_SPOT.format(2)} <> '') SELECT candidate, page, start, \"end\", coalesce(hint <> page, false) AS corrected FROM n WHERE k = 1")
+def evidence_offsets(t: Tables) -> DataFrame:
+    """Page and place of each quote; every third hint is taken away, so that all pages of the document are searched."""
+    asked = _candidates(t).withColumn("hint", F.when(F.col("hint") % 3 != 0, F.col("hint")))
+    return E.located_evidence(asked, E.pages(t.documents, ["doc_id"], "text", "\n"), ["doc_id"])
+
+
 @query("evidence_value_presence", _HITS + f"p AS ({_PAGES}), v AS (SELECT candidate, doc_id, hint, string_split(quote, ' ')[1] AS value FROM c) SELECT v.candidate, v.value, coalesce(bool_or(contains(replace(lower(p.text), 'ß', 'ss'), replace(lower(v.value), 'ß', 'ss'))), false) AS present FROM v LEFT JOIN p ON p.doc_id = v.doc_id AND p.page BETWEEN v.hint - 1 AND v.hint + 1 GROUP BY 1, 2")
 def evidence_value_presence(t: Tables) -> DataFrame:
     values = _candidates(t).select(F.col("candidate").alias("value_id"), "doc_id", F.col("hint").alias("page"), F.get(F.split("quote", " "), F.lit(0)).alias("value"))
@@ -106,7 +116,7 @@ def text_negation(t: Tables) -> DataFrame:
     return t.documents.where(text.negated(F.col("text"), ["not", "no", "kein", "pas"])).select("doc_id")
 
 
-@query("text_numbers", "SELECT doc_id, regexp_matches(text, '(^|[^0-9.])4(\\.0+)?($|[^0-9.]|\\.($|[^0-9]))') AS printed FROM documents")
+@query("text_numbers", "SELECT doc_id, regexp_matches(text, '(^|[^0-9.,]|(^|[^0-9]),)4(\\.0+)?($|[^0-9.,]|[.,]($|[^0-9]))') AS printed FROM documents")
 def text_numbers(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.number_printed(F.col("text"), F.lit(4.0)).alias("printed"))
 

@@ -43,12 +43,48 @@ def test_spans_numbers_and_locators(spark):
     assert one(spark, text.locator_parts(made), "a=b;c%") == {"page": "2", "section": "a=b;c%"}
 
 
-@pytest.mark.parametrize(("raw", "lo", "hi"), [("1,200.5", 1200.5, 1200.5), ("3 - 5", 3.0, 5.0), ("-2", -2.0, -2.0), ("about 3", None, None), ("1.5e-8", 1.5e-8, 1.5e-8), ("0.00000000001", 1e-11, 1e-11), ("1,234,567,890,123,456", 1234567890123456.0, 1234567890123456.0), ("1,2,3", None, None)])
+@pytest.mark.parametrize(("raw", "lo", "hi"), [("1,200.5", 1200.5, 1200.5), ("3 - 5", 3.0, 5.0), ("-2", -2.0, -2.0), ("about 3", None, None), ("5 to 3", None, None), ("+5", 5.0, 5.0), ("−5", -5.0, -5.0), ("3—5", 3.0, 5.0), ("１２～１３", 12.0, 13.0), ("1e400", None, None), ("-5–-3", -5.0, -3.0), ("1,000-2,000", None, None), (None, None, None), ("0.00000000001", 1e-11, 1e-11), ("1,234,567,890,123,456", 1234567890123456.0, 1234567890123456.0), ("1,2,3", None, None)])
 def test_raw_values(spark, raw, lo, hi):
     found = one(spark, units.raw_value(F.col("t")), raw)
     assert (found and (found["lo"], found["hi"])) == ((lo, hi) if lo is not None else None)
 
 
+def test_raw_values_with_exponents(spark):
+    for raw, want in (("1.5e-8", (1.5e-8, 1.5e-8)), ("1e400", None), ("1e2 to 2e2", (100.0, 200.0))):
+        found = one(spark, units.raw_value(F.col("t"), exponents=True), raw)
+        assert (found and (found["lo"], found["hi"])) == want
+
+
+def test_values_with_and_without_units(spark):
+    known = spark.createDataFrame([("kg", "g", 1000.0, 0.0)], "alias string, canonical string, factor double, shift double")
+    rows = spark.createDataFrame([(1, "2", "kg"), (2, "2 - 3", None), (3, "2", " "), (4, "2", "lb"), (5, None, "kg"), (6, "3 to 2", "kg")], "k int, v string, u string")
+    got = units.normalized_values(rows, known, F.col("v"), F.col("u")).orderBy("k").collect()
+    assert [(r["lo"], r["hi"], r["canonical"], r["reason"]) for r in got] == [
+        (2000.0, 2000.0, "g", None), (2.0, 3.0, None, None), (2.0, 2.0, None, None), (None, None, None, "unknown_unit"), (None, None, "g", "no_raw_value"), (None, None, "g", "unparsed_value"),
+    ]
+
+
+def test_number_spans(spark):
+    cases = [
+        ("23.50 g", 23.5, (0, 5)), ("123.5", 23.5, None), ("23.51", 23.5, None), ("8.6 then 8", 8.0, (9, 10)), ("1,536", 536.0, None), ("1,536", 1.0, None), ("is 4.00.", 4.0, (3, 7)), ("é 4, 5", 4.0, (2, 3)), ("4,5", 4.0, None), ("0.0", 0.0, (0, 3)),
+        ("10000000", 1e7, (0, 8)), ("x", 1.0, None), (None, 1.0, None),
+    ]
+    for t, number, want in cases:
+        span = one(spark, text.number_span(F.col("t"), F.lit(number)), t)
+        assert (span and (span["start"], span["end"])) == want, (t, number)
+
+
+def test_normalised_columns_are_exact_over_all_of_unicode(spark):
+    signs = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    rows = [(k, "".join(signs[k : k + 1])) for k in range(len(signs)) if k < 0x3100 or k % 97 == 0 or 0xF800 <= k < 0xFFFF]
+    rows = [(k, f) for k, c in rows for f in (f"A{c}-\n {c}b", f" {c}{c}")]
+    rows += [(0, "ﬁne ς Ⅳ"), (0, "e\u0301-\n a"), (0, "x-\ny-\nz"), (0, None), (0, "")]
+    frame = spark.createDataFrame(rows, "k int, t string").repartition(8)
+    wrong = frame.select("t", text.normalized(F.col("t")).alias("a"), text.normalized_exact("t").alias("b")).where(~F.col("a").eqNullSafe(F.col("b")))
+    assert wrong.limit(5).collect() == []
+    assert one(spark, text.normalized(F.col("t")), "ﬁne ς Ⅳ") == "fine σ iv"
+
+
 def test_instants(spark):
     assert one(spark, units.instant_utc(F.col("t")), "2024-01-01T01:00:00+02:00") == "2023-12-31T23:00:00Z"
     assert one(spark, units.instant_utc(F.col("t")), "2024-01-01T01:00:00") is None
@@ -160,4 +196,22 @@ def test_located_quotes_equal_containment(spark):
 def test_numbers_are_present_as_tokens(spark):
     present = lambda t, v: one(spark, text.value_present(F.lit(t), F.lit(v)))
     assert [present(t, "1") for t in ("21 rows", "1 row", "row 1.", "1.5", None)] == [False, True, True, False, False]
+    assert present("2.50", "2.5") and present("2.5", "2.50") and present("1,536", "536") and not present("2.51", "2.5") and present("4.0", "4.00")
     assert present("Plant  Height", "plant height") and not present("x", None)
+
+
+def test_located_evidence(spark):
+    pages = spark.createDataFrame([("a", 1, "Alpha  beta"), ("a", 2, "gamma ﬁne-\n tuned  text"), ("a", 3, "alpha beta"), ("a", 4, "delta"), ("b", 1, "alpha beta"), ("b", 2, None)], "doc string, page int, text string")
+    asked = [
+        (1, "a", "alpha beta", 2), (2, "a", "alpha beta", 3), (3, "a", "alpha beta", None), (4, "a", "delta", 1), (5, "a", "delta", None), (6, "a", "finetuned TEXT", 9), (7, "a", "al", 1), (8, "b", "gamma", None), (9, "a", None, 1), (10, "c", "alpha", 1),
+        (11, "a", "delta", 0),
+    ]
+    got = evidence.located_evidence(spark.createDataFrame(asked, "candidate int, doc string, quote string, hint int"), pages, ["doc"]).orderBy("candidate").collect()
+    assert [tuple(r) for r in got] == [(1, 1, 0, 11, True), (2, 3, 0, 10, False), (3, 1, 0, 11, False), (5, 4, 0, 5, False), (6, 2, 6, 23, True), (11, 4, 0, 5, True)]
+
+
+def test_repeated_text_ids_give_the_least_start(spark):
+    texts = spark.createDataFrame([(1, "xx the end"), (1, "the end"), (2, "none")], "i long, t string")
+    quotes = spark.createDataFrame([(1, "the end")], "q long, s string")
+    got = evidence.located_quotes(texts, quotes, text_id="i", text="t", quote_id="q", quote="s").collect()
+    assert [(r["i"], r["start"], r["text"]) for r in got] == [(1, 0, "the end")]
