@@ -13,8 +13,8 @@ from ..streaming import incremental as S
 from .registry import Tables, query
 
 
-def _worked_off(t: Tables, make) -> DataFrame:
-    """Runs the stream over the events and returns what reached its table."""
+def _worked_off(t: Tables, make, mode: str = "append") -> DataFrame:
+    """Runs the stream over the events and returns what reached its table; of an updating one with the number of the batch."""
     out = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
     # a file source reads folders: the folder of the table's files, and of them those of the table
     events = t.events
@@ -25,8 +25,9 @@ def _worked_off(t: Tables, make) -> DataFrame:
     source = S.read_folder(t.spark, folder, schema, fmt="parquet", pattern=pattern)
     made = make(source)
     # a batch that is tried again replaces its own folder
-    S.fold(made, lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/rows/batch={k}"), f"{out}/checkpoint").awaitTermination()
-    return t.spark.read.schema(made.schema).parquet(f"{out}/rows").select(*made.columns)
+    S.fold(made, lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/rows/batch={k}"), f"{out}/checkpoint", mode).awaitTermination()
+    schema = T.StructType([*made.schema.fields, T.StructField("batch", T.LongType())])
+    return t.spark.read.schema(schema).parquet(f"{out}/rows").select(*made.columns, *(["batch"] if mode == "update" else []))
 
 
 @query("stream_validation", "SELECT event_id, 'RULE_E1' AS code FROM events WHERE event_type = 'purchase' AND value < 50")
@@ -39,9 +40,17 @@ def stream_validation(t: Tables) -> DataFrame:
 
 @query("stream_window_counts", "SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_window_counts(t: Tables) -> DataFrame:
-    """Daily counts under a watermark; the last, still open windows are completed from the batch."""
-    width = lambda rows: rows.groupBy(F.window("ts", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    closed = _worked_off(t, lambda s: S.window_counts(s, "ts", "1 day", "1 hour", "event_type"))
-    whole = width(t.events.withColumn("ts", F.col("ts").cast("timestamp")))
-    open_ = whole.join(closed.select("window", "event_type"), ["window", "event_type"], "left_anti")
-    return closed.unionByName(open_).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    """Daily counts under a watermark, told anew while a window is open; the last told of each is its count."""
+    told = _worked_off(t, lambda s: S.window_counts(s, "ts", "1 day", "1 hour", "event_type").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n"), "update")
+    return S.latest(told, ["day", "event_type"])
+
+
+@query("stream_first_values", """
+WITH e AS (SELECT user_id, event_type, first_value(event_type) OVER (PARTITION BY user_id ORDER BY ts, CAST(event_id AS VARCHAR)) AS f FROM events WHERE event_type IS NOT NULL)
+SELECT CAST(user_id AS VARCHAR) AS "group", f AS first_value, count(*) AS rows, count(*) FILTER (event_type <> f) AS differing FROM e GROUP BY ALL
+""")
+def stream_first_values(t: Tables) -> DataFrame:
+    """The first type of each user's events, and how many differ, kept as state while rows come in."""
+    with S.state_tables(t.spark):
+        told = _worked_off(t, lambda s: S.first_values(s, "user_id", "event_type", "ts", "event_id"), "update")
+    return S.latest(told, ["group"])

@@ -215,3 +215,31 @@ def test_repeated_text_ids_give_the_least_start(spark):
     quotes = spark.createDataFrame([(1, "the end")], "q long, s string")
     got = evidence.located_quotes(texts, quotes, text_id="i", text="t", quote_id="q", quote="s").collect()
     assert [(r["i"], r["start"], r["text"]) for r in got] == [(1, 0, "the end")]
+
+
+def test_first_values_of_a_stream_with_late_rows(spark, tmp_path):
+    from sparkledger.streaming import incremental as S
+
+    schema = "g string, v string, at timestamp, k string"
+    batches = [
+        [("a", "x", 5, "1"), ("a", "y", 6, "2"), ("b", None, 1, "3")],
+        [("a", "y", 2, "4"), ("c", "z", 1, "6"), ("c", "w", 1, "5")],  # an earlier row comes late; a tie in time
+        [("a", "x", 9, "7"), ("b", "q", 3, "8"), (None, "n", 1, "9"), ("d", "v", None, "1")],
+    ]
+    rows = []
+    for k, own in enumerate(batches):
+        made = spark.createDataFrame([(g, v, at, t) for g, v, at, t in own], "g string, v string, at int, k string").selectExpr("g", "v", "timestamp_seconds(at) AS at", "k")
+        made.coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        rows += own
+    told = []
+    with S.state_tables(spark):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        found = S.first_values(stream, "g", "v", "at", "k")
+        S.fold(found, lambda batch, n: told.extend((n, *r) for r in batch.collect()), f"{tmp_path}/checkpoint", "update").awaitTermination()
+    last = {r[1]: r[2:] for r in sorted(told, key=lambda r: r[0])}
+    want = {}
+    for g in {r[0] for r in rows}:
+        own = sorted(((10**9 if at is None else at, t, v) for x, v, at, t in rows if x == g and v is not None))
+        want[g] = (own[0][2], len(own), sum(v != own[0][2] for _, _, v in own))
+    assert last == want and len(told) > len(last)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
