@@ -1,6 +1,6 @@
 """Queries of the engine over the test tables."""
 
-from . import aggregates, constraints, envelopes, evidence, extraction, joins, markers, migrations, networks, repairs, reports, rules, streams, verdicts, views, workflows
+from . import aggregates, constraints, envelopes, evidence, extraction, joins, layers, markers, migrations, networks, repairs, reports, rules, streams, verdicts, views, workflows
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregates", "constraints", "envelopes", "evidence", "extraction", "joins", "markers", "migrations", "networks", "repairs", "reports", "rules", "streams", "verdicts", "views", "workflows"]
+__all__ = ["QUERIES", "SQL", "aggregates", "constraints", "envelopes", "evidence", "extraction", "joins", "layers", "markers", "migrations", "networks", "repairs", "reports", "rules", "streams", "verdicts", "views", "workflows"]
