@@ -53,13 +53,13 @@ _V = """WITH d AS (
 """
 
 
-@query("review_verified", _V + """SELECT doc_id, outcome, status, CASE WHEN touched THEN coalesce(v, 1) + 1 ELSE v END AS version, CASE WHEN touched THEN 'run-7' END AS run,
+@query("review_verified", _V + """SELECT doc_id, outcome, status, CASE WHEN touched THEN coalesce(v, 1) + 1 ELSE coalesce(v, 0) END AS version, CASE WHEN touched THEN 'run-7' END AS run,
   array_to_string(list_sort(CASE WHEN touched AND len(codes) > 0 THEN list_concat(CASE WHEN list_contains(qc, 'A') THEN ['A'] ELSE [] END, codes) ELSE coalesce(qc, []) END), ',') AS qc, CASE WHEN outcome = 'invalid_after' THEN 'RULE_V1' ELSE '' END AS errors FROM r""")
 def review_verified(t: Tables) -> DataFrame:
     """Records after a verifier's run: outcome, status, codes, version, and what would not be valid any more."""
     rows = _verified(t).records
     codes = F.coalesce(F.array_join(F.array_sort("qc_codes"), ","), F.lit(""))
-    return rows.select("doc_id", "outcome", "status", "version", F.col("verification_run").alias("run"), codes.alias("qc"), F.array_join("errors", ",").alias("errors"))
+    return rows.select("doc_id", "outcome", "status", F.coalesce("version", F.lit(0)).alias("version"), F.col("verification_run").alias("run"), codes.alias("qc"), F.array_join("errors", ",").alias("errors"))
 
 
 @query("review_findings", _V + """SELECT doc_id, kind, verdict, 'd' || doc_id AS reason FROM (SELECT doc_id, s, has, 'record' AS kind, rv AS verdict FROM r UNION ALL SELECT doc_id, s, has, 'link', lv FROM r)
