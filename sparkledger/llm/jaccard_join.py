@@ -395,7 +395,7 @@ def _fingerprints(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in own], type=pa.int64()), batch.column(0).slice(lo, len(own)), pa.array([len(s) for s in own], type=pa.int32()), pa.array([fingerprint(s).tobytes() for s in own], type=pa.binary())], names=["class", "doc_id", "n", "print"])
 
     found = map_arrow(_needed(docs, classes).select("doc_id", "text"), prints, ddl)
-    return found.join(classes, ["class", "doc_id"], "left_semi").dropDuplicates(["class"])
+    return found.hint("merge").join(classes, ["class", "doc_id"], "left_semi").dropDuplicates(["class"])
 
 
 def _plausible(pairs: DataFrame, prints: DataFrame) -> DataFrame:
@@ -681,9 +681,9 @@ def _of_documents(docs: DataFrame, id_col: str, text_col: str, counted: bool) ->
     components = similar_classes(plain, rows)
     own = rows.where("n >= 0")
     classes = _classes(rows)
-    labelled = classes.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    labelled = classes.hint("merge").join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    final = labelled.join(least, "component").select("class", "component_id", "copies")
+    final = labelled.hint("merge").join(least, "component").select("class", "component_id", "copies")
     out = ["doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")]
     if counted:
         keyed = plain.where(F.col("doc_id").isNotNull())

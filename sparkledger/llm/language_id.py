@@ -29,6 +29,8 @@ from .shared import map_batches, release_memory, text_column
 
 BITS = 16
 ORDERS = (1, 2, 3)
+#: A slot as it is sent to the driver.
+_SLOT = np.dtype("<u2" if BITS <= 16 else "<u4")
 SAMPLE_ROWS = 4_000
 #: The table of weights has a row for each language, so a training table of more languages than these is refused.
 MAX_LANGUAGES = 1_000
@@ -118,11 +120,12 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
             yield pa.RecordBatch.from_arrays([pa.array(list(range(size // block)) + [-1], type=pa.int32()), pa.array([*seen.reshape(-1, block).tolist(), [total]], type=pa.list_(pa.int64()))], names=["block", "counts"])
 
     sent = docs.select(text_col).mapInArrow(run, "block int, counts array<long>")
-    summed = sent.select("block", F.posexplode("counts").alias("pos", "n")).groupBy("block", "pos").agg(F.sum("n").alias("n")).where("n > 0").toPandas()
+    summed = sent.select("block", F.posexplode("counts").alias("pos", "n")).groupBy("block", "pos").agg(F.sum("n").alias("n")).where("n > 0").toArrow()
     out = np.zeros(size, dtype=np.int64)
-    own = summed[summed.block >= 0]
-    out[own.block.to_numpy() * block + own.pos.to_numpy()] = own.n.to_numpy()
-    return out, int(summed[summed.block < 0].n.sum())
+    at, pos, n = (summed.column(c).to_numpy() for c in ("block", "pos", "n"))
+    own = at >= 0
+    out[at[own] * block + pos[own]] = n[own]
+    return out, int(n[~own].sum())
 
 
 def _sample(docs: DataFrame, idf: np.ndarray, sample_rows: int, counts: dict[str, int], id_col: str, text_col: str, label_col: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -136,7 +139,6 @@ def _sample(docs: DataFrame, idf: np.ndarray, sample_rows: int, counts: dict[str
     picked = few.withColumn("nth", F.row_number().over(Window.partitionBy("pick_lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h", "pick"))).where(F.col("nth") <= each).select("pick")
     # at most sample_rows ids: a proven bound for the broadcast
     ids = docs.sparkSession.sparkContext.broadcast({r[0] for r in picked.distinct().collect()})
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
     index = {x: i for i, x in enumerate(languages)}
 
     def vectors(batch: pa.RecordBatch):
@@ -144,24 +146,21 @@ def _sample(docs: DataFrame, idf: np.ndarray, sample_rows: int, counts: dict[str
         batch = batch.filter(pa.array(keep))
         labels = [index[x] for x in batch.column(2).to_pylist()]
         for lo, hi, points, offs in _in_slices(batch, 1):
-            slots, values = [], []
+            slots, counts = [], []
             for i in range(hi - lo):
-                own = _row_slots(points[offs[i] : offs[i + 1]])
-                s, c = np.unique(own, return_counts=True)
-                slots.append(s.astype(np.int32))
-                values.append(c * shared.value[s] / max(1, len(own)))
-            yield {"id": batch.column(0).slice(lo, hi - lo), "label": labels[lo:hi], "slots": slots, "values": values}
+                s, c = np.unique(_row_slots(points[offs[i] : offs[i + 1]]), return_counts=True)
+                slots.append(s.astype(_SLOT).tobytes())
+                counts.append(c.astype("<u2" if c.max(initial=0) < 1 << 16 else "<u8").tobytes())
+            yield {"id": batch.column(0).slice(lo, hi - lo), "label": labels[lo:hi], "slots": slots, "counts": counts}
 
     plain = docs.select(F.col(id_col).alias("id"), text_col, label_col)
-    rows = map_batches(plain, vectors, "id long, label int, slots array<int>, values array<double>").dropDuplicates(["id"])
-    table = rows.toArrow().sort_by("id").combine_chunks()
-    label = table.column("label").to_numpy()
-    parts = []
-    for name in ("slots", "values"):
-        column = table.column(name).combine_chunks()
-        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-        parts.append(np.split(column.flatten().to_numpy(), np.cumsum(np.diff(column.offsets.to_numpy()))[:-1]) if len(column) else [])
-    return [(int(k), s.astype(np.int64), v) for k, s, v in zip(label, *parts, strict=True)]
+    rows = map_batches(plain, vectors, "id long, label int, slots binary, counts binary").dropDuplicates(["id"])
+    told, out = rows.toArrow().sort_by("id"), []
+    for label, slots, counts in zip(*(told.column(c).to_pylist() for c in ("label", "slots", "counts")), strict=True):
+        at = np.frombuffer(slots, dtype=_SLOT)
+        c = np.frombuffer(counts, dtype=f"<u{len(counts) // len(at)}" if len(at) else "<u2").astype(np.int64)
+        out.append((label, at, c * idf[at] / max(1, int(c.sum()))))
+    return out
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -182,7 +181,7 @@ def fit_ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int, *, al
     for _ in range(epochs):
         for k in rng.permutation(len(rows)):
             label, slots, values = rows[k]
-            at, x = np.append(slots, size), np.append(values, 1.0)
+            at, x = np.append(slots.astype(np.int64), size), np.append(values, 1.0)
             w = weights(at)
             error = _softmax(w @ x)
             error[label] -= 1
@@ -231,6 +230,8 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     weights, bias = fit_ftrl(fit or held, len(languages))
     logits = np.array([weights[:, s] @ v + bias for _, s, v in held]).T if held else np.zeros((len(languages), 0))
     temperature = calibrate(logits, np.array([r[0] for r in held], dtype=np.int64))
+    del rows, fit, held
+    release_memory()  # of the driver, which learns again in each run
     return Model(languages, np.ascontiguousarray((weights * idf).T.astype(np.float32)), bias, temperature)
 
 
