@@ -15,13 +15,12 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import struct
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Units kept by a worker; beyond it the memory is emptied and filled anew (results do not change).
-MEMORY_UNITS = 300_000
+MEMORY_UNITS = 500_000
 #: Characters of new units that go to the tokenizer in one call.
 CALL_CHARS = 1 << 18
 
@@ -63,7 +62,7 @@ class UnitEncoder:
         return _LOADED[key]
 
     def _value(self, ids: list[int]):
-        return len(ids) if self.lengths_only else np.array(ids, dtype="<u4").tobytes()
+        return len(ids) if self.lengths_only else struct.pack(f"<{len(ids)}I", *ids)
 
     def _core(self, core: str, space: str):
         """One pre-token of Latin letters."""

@@ -1,11 +1,14 @@
-"""What the pipeline asks of the driver."""
+"""What the pipeline asks of the driver, and what a worker remembers."""
 
 import random
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+from tokenizers import Tokenizer
 
 from sparkledger.llm import components, language_id
+from sparkledger.llm.token_units import UnitEncoder
 
 from .fixtures import DOC_SCHEMA
 
@@ -60,3 +63,15 @@ def test_the_learned_sample_comes_to_the_driver_as_counts(spark, monkeypatch):
         s, c = np.unique(own, return_counts=True)
         assert (slots == s).all() and (values == c * idf[s] / len(own)).all()
     assert sum(t.nbytes for t in sent) < 6 * sum(len(s) for _, s, _ in got)
+
+
+def test_a_worker_remembers_more_units(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = UnitEncoder(path, "byte", False)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(f" {a}{b}{c}{d}" for c in letters for d in letters[:20]) for a in letters for b in letters]
+    first = [encoder.ids(t) for t in texts]
+    tok = Tokenizer.from_file(path)
+    assert all(i == np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for i, t in zip(first[:3], texts[:3], strict=True))
+    monkeypatch.setattr(encoder, "_learn", None)
+    assert [encoder.ids(t) for t in texts[:10]] == first[:10]
