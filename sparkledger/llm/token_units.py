@@ -7,19 +7,22 @@ A boundary is *safe* for a tokenizer if encoding the two sides apart gives the s
   that is followed by a character other than white space, and on both sides of a lone line feed.
 
 Texts that hold one of the tokenizer's added tokens are encoded in one piece, since these are matched on the raw text.
-A unit of Latin letters, or one with a single full stop or comma at its end, goes to the model directly; any other new
-unit goes to the whole tokenizer in a batch.
+A unit of Latin letters goes to the model directly, also with a single full stop or comma at its end (``word``) or with
+any ASCII punctuation there (``byte``: letters and what follows them are pre-tokens of their own); any other new unit goes
+to the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Units kept by a worker; beyond it the memory is emptied and filled anew (results do not change).
+#: Units kept by a worker; beyond it the memory of ``lengths`` is emptied and filled anew, and that of ``ids`` drops the half
+#: met longest ago (results do not change).
 MEMORY_UNITS = 500_000
 #: Characters of new units that go to the tokenizer in one call.
 CALL_CHARS = 1 << 18
@@ -37,6 +40,27 @@ def _byte_letters() -> dict[int, str]:
     return table | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in table)}
 
 
+class _UnitIds(dict):
+    """Ids of units after one space, or as they are behind a line feed; a missing unit is learned when it is looked up.
+
+    A full half becomes the older one, from which units come back when they are met again.
+    """
+
+    def __init__(self, encoder: "UnitEncoder"):
+        super().__init__()
+        self.encoder, self.older = encoder, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        value = self.older.get(unit)
+        if value is None:
+            value = self.encoder._learn(unit)
+        if len(self) >= MEMORY_UNITS // 2:
+            self.older = dict(self)
+            self.clear()
+        self[unit] = value
+        return value
+
+
 class UnitEncoder:
     """Lengths or ids of whole texts, from a memory of units."""
 
@@ -50,8 +74,9 @@ class UnitEncoder:
         self.kind, self.lengths_only = kind, lengths_only
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.first: dict = {}  # units as they are
-        self.spaced: dict = {}  # units after one space
+        self.first: dict = {}  # lengths of units as they are
+        self.units = _UnitIds(self)
+        self.line = b"" if lengths_only else self._whole("\n")
 
     @classmethod
     def of(cls, path: str, kind: str, lengths_only: bool) -> "UnitEncoder":
@@ -64,55 +89,61 @@ class UnitEncoder:
     def _value(self, ids: list[int]):
         return len(ids) if self.lengths_only else struct.pack(f"<{len(ids)}I", *ids)
 
-    def _core(self, core: str, space: str):
-        """One pre-token of Latin letters."""
-        if self.kind == "word":
-            core = core.lower()
-        mapped = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
-        return self._value([t.id for t in self.model.tokenize(space + mapped)])
-
-    def _learn(self, units: set[str], memory: dict, space: str) -> None:
-        if len(self.first) + len(self.spaced) + len(units) > MEMORY_UNITS:
-            self.first.clear()
-            self.spaced.clear()
-        rest, lead = [], self.letters[32] if space else ""
+    def _whole(self, text: str):
+        return self._value(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _learn(self, unit: str) -> bytes:
+        """Ids of a unit as ``_UnitIds`` names it."""
+        core = unit.rstrip(string.punctuation)
+        lead, bare, line = ("", core[1:], self.line) if core[:1] == "\n" else (self.letters[32], core, b"")
+        if not bare.isalpha() or not (bare.isascii() or max(bare) < _LATIN_END):
+            return line + self._whole(" " + unit if lead else unit[1:])
+        if len(core) < len(unit):
+            return self.units[core] + self.units["\n" + unit[len(core) :]][len(self.line) :]
+        mapped = bare if bare.isascii() else bare.encode().decode("latin-1").translate(self.letters)
+        return line + self._value([t.id for t in self.model.tokenize(lead + mapped)])
+
+    def _learn_lengths(self, units: set[str]) -> None:
+        memory = self.first
+        if len(memory) + len(units) > MEMORY_UNITS:
+            memory.clear()
+        rest = []
         for u in units:
             if u in memory:
                 continue
             core, tail = (u[:-1], u[-1]) if u[-1:] in (".", ",") else (u, "")
             if core and core.isalpha() and max(core) < _LATIN_END:
-                value = self._core(core, lead)
+                if self.kind == "word":
+                    core = core.lower()
+                value = len(self.model.tokenize(core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)))
                 memory[u] = value + self._tail(tail) if tail else value
-            elif u or space:
+            elif u:
                 rest.append(u)
             else:
-                memory[u] = self._value([])
+                memory[u] = 0
         lo = 0
         while lo < len(rest):
             hi, size = lo, 0
             while hi < len(rest) and (hi == lo or size + len(rest[hi]) <= CALL_CHARS):
                 size += len(rest[hi])
                 hi += 1
-            for u, e in zip(rest[lo:hi], self.tok.encode_batch([space + u for u in rest[lo:hi]], add_special_tokens=False), strict=True):
-                memory[u] = self._value(e.ids)
+            for u, e in zip(rest[lo:hi], self.tok.encode_batch(rest[lo:hi], add_special_tokens=False), strict=True):
+                memory[u] = len(e.ids)
             lo = hi
 
     def _tail(self, tail: str):
         if tail not in self.first:
-            self.first[tail] = self._value(self.tok.encode(tail, add_special_tokens=False).ids)
+            self.first[tail] = self._whole(tail)
         return self.first[tail]
 
-    def _whole(self, text: str):
-        return self._value(self.tok.encode(text, add_special_tokens=False).ids)
-
     def lengths(self, texts: list[str]) -> list[int]:
         """Tokens of each text, by a tokenizer of kind ``word``."""
         cut = [None if any(a in t for a in self.added) else t.replace("\n", " ").split(" ") for t in texts]
         seen = set().union(*(c for c in cut if c))
         if not seen <= self.first.keys():
-            self._learn(seen, self.first, "")
+            self._learn_lengths(seen)
             if not seen <= self.first.keys():  # emptied on the way
-                self._learn(seen, self.first, "")
+                self._learn_lengths(seen)
         get = self.first.__getitem__
         return [self._whole(t) if c is None else sum(map(get, c)) for t, c in zip(texts, cut, strict=True)]
 
@@ -120,22 +151,6 @@ class UnitEncoder:
         """Ids of a text as little-endian unsigned 32-bit numbers, by a tokenizer of kind ``byte``."""
         if any(a in text for a in self.added):
             return self._whole(text)
-        if _SPACED.search(text):
-            parts = _CUT.split(text)
-            lines = None
-            heads, tails = [parts[0]], parts[1:]
-        else:
-            lines = [line.split(" ") for line in text.split("\n")]
-            heads, tails = [x[0] for x in lines], [w for x in lines for w in x[1:]]
-        new_heads, new_tails = {h for h in heads if h not in self.first}, {w for w in tails if w not in self.spaced}
-        if new_heads or new_tails:
-            if len(self.first) + len(self.spaced) + len(new_heads) + len(new_tails) > MEMORY_UNITS:
-                self.first.clear()
-                self.spaced.clear()
-                new_heads, new_tails = set(heads), set(tails)
-            self._learn(new_heads, self.first, "")
-            self._learn(new_tails, self.spaced, " ")
-        spaced = self.spaced.__getitem__
-        if lines is None:
-            return self.first[heads[0]] + b"".join(map(spaced, tails))
-        return self._tail("\n").join([self.first[x[0]] + b"".join(map(spaced, x[1:])) for x in lines])
+        parts = _CUT.split(text) if _SPACED.search(text) else text.replace("\n", " \n").split(" ")
+        parts[0] = "\n" + parts[0]
+        return b"".join(map(self.units.__getitem__, parts))[len(self.line) :]

@@ -7,7 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from sparkledger.llm import components, language_id
+from sparkledger.llm import components, language_id, token_units
 from sparkledger.llm.token_units import UnitEncoder
 
 from .fixtures import DOC_SCHEMA
@@ -75,3 +75,52 @@ def test_a_worker_remembers_more_units(monkeypatch):
     assert all(i == np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for i, t in zip(first[:3], texts[:3], strict=True))
     monkeypatch.setattr(encoder, "_learn", None)
     assert [encoder.ids(t) for t in texts[:10]] == first[:10]
+
+
+def _counting(encoder: UnitEncoder) -> list[str]:
+    """What the encoder asks its model from now on."""
+    asked, model = [], encoder.model
+
+    class Model:
+        def tokenize(self, core):
+            asked.append(core)
+            return model.tokenize(core)
+
+    encoder.model = Model()
+    return asked
+
+
+def _whole_ids(tok: Tokenizer, text: str) -> bytes:
+    return np.array(tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def test_letters_are_learned_once_whatever_follows_them():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tok = UnitEncoder(path, "byte", False), Tokenizer.from_file(path)
+    asked = _counting(encoder)
+    text = "A ciónado ciónado, ciónado### ciónado%%%. ciónado'\nciónado!\nciónado"
+    assert encoder.ids(text) == _whole_ids(tok, text)
+    assert len([a for a in asked if a.endswith("nado")]) == 2  # after a space and after a line feed
+
+
+def test_units_that_are_met_again_outlive_a_full_memory(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tok = UnitEncoder(path, "byte", False), Tokenizer.from_file(path)
+    monkeypatch.setattr(token_units, "MEMORY_UNITS", 40)
+    asked = _counting(encoder)
+    for a in "abcdefghijklmnopqrstuvwxyz":
+        text = "In often" + "".join(f" {a}{b}x" for b in "abcdefghij")
+        assert encoder.ids(text) == _whole_ids(tok, text)
+    assert asked.count("Ġoften") == 1
+    assert len(encoder.units) + len(encoder.units.older) <= 40
+
+
+def test_ids_of_odd_texts_are_those_of_the_whole_tokenizer(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tok = UnitEncoder(path, "byte", False), Tokenizer.from_file(path)
+    monkeypatch.setattr(token_units, "MEMORY_UNITS", 60)
+    bits = ["a", "Word", "é", "İ", "ªº", "²", "9", "don't", "'s", "'", "''", "#", ",", ".", "_", "…", "日本", "\u00a0", "\u0301", "\u2003", "\t", "\r", " ", " ", " ", "  ", "\n", "\n\n", "<|endoftext|>", "\x00", "😀"]
+    rng = np.random.default_rng(3)
+    texts = ["", " ", "\n", "\n\n", "a ", " a", "a\n", "\na", "a\n b", "\n ", *("".join(bits[k] for k in rng.integers(0, len(bits), n)) for n in rng.integers(1, 14, 4000))]
+    for text in texts:
+        assert encoder.ids(text) == _whole_ids(tok, text), text
