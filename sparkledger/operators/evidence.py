@@ -80,9 +80,10 @@ def with_last_before(events: DataFrame, marks: DataFrame, keys: list[str], at: s
     return both.withColumn(out, F.last("_v", ignorenulls=True).over(w)).where("_e = 1").drop("_v", "_e")
 
 
-def page_of_evidence(candidates: DataFrame, page_rows: DataFrame, keys: list[str], *, radius: int = 1, longest: int = 2000) -> DataFrame:
+def page_of_evidence(candidates: DataFrame, page_rows: DataFrame, keys: list[str], *, radius: int = 1, longest: int | None = 2000) -> DataFrame:
     """Adds page_found and code to candidates (candidate, keys, quote, hint): the hinted page, else the nearest within the
-    radius (the lower one first), else none.  The join is on the keys and one of the 2 * radius + 1 pages."""
+    radius (the lower one first), else none.  The join is on the keys and one of the 2 * radius + 1 pages.  Without ``longest``
+    a quote may be of any length."""
     steps = [s for d in range(radius + 1) for s in ((-d, d) if d else (0,))]
     near = candidates.select("candidate", *keys, "quote", "hint", F.posexplode(F.array(*(F.col("hint") + s for s in steps))).alias("_rank", "page"))
     near = near.withColumn("_quote", normalized(F.col("quote")))
@@ -92,7 +93,7 @@ def page_of_evidence(candidates: DataFrame, page_rows: DataFrame, keys: list[str
     code = (
         F.when(F.col("quote").isNull() | (F.trim("quote") == ""), "EVIDENCE_MISSING")
         .when(F.col("hint").isNull() | (F.col("hint") < 1), "EVIDENCE_PAGE_INVALID")
-        .when(F.length("quote") > longest, "EVIDENCE_QUOTE_TOO_LONG")
+        .when(F.length("quote") > F.lit(longest).cast("int"), "EVIDENCE_QUOTE_TOO_LONG")
         .when(F.col("page_found").isNull(), "EVIDENCE_QUOTE_NOT_FOUND")
         .when(F.col("page_found") != F.col("hint"), "EVIDENCE_PAGE_CORRECTED")
     )
