@@ -38,3 +38,7 @@ def test_a_policy_may_limit_quotes(spark):
     page = spark.createDataFrame([("d", 1, "a" * 3000)], "doc string, page int, text string")
     codes = lambda **kw: [r["code"] for r in page_of_evidence(candidates, page, ["doc"], **kw).orderBy("candidate").collect()]
     assert codes() == ["EVIDENCE_QUOTE_TOO_LONG", None] and codes(longest=None) == [None, None] and codes(longest=10) == ["EVIDENCE_QUOTE_TOO_LONG"] * 2
+
+
+def test_records_of_long_quotes(spark, long_quotes):
+    agrees(spark, long_quotes, "extraction_records")
