@@ -42,3 +42,7 @@ def test_a_policy_may_limit_quotes(spark):
 
 def test_records_of_long_quotes(spark, long_quotes):
     agrees(spark, long_quotes, "extraction_records")
+
+
+def test_rejections_of_long_quotes(spark, long_quotes):
+    agrees(spark, long_quotes, "extraction_rejections")
