@@ -46,3 +46,7 @@ def test_records_of_long_quotes(spark, long_quotes):
 
 def test_rejections_of_long_quotes(spark, long_quotes):
     agrees(spark, long_quotes, "extraction_rejections")
+
+
+def test_report_of_long_quotes(spark, long_quotes):
+    agrees(spark, long_quotes, "extraction_report")
