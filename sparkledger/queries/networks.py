@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import markers as M
-from ..operators.triads import triads
+from ..operators.triads import triads_of_kinds
 from ..plans.fill import Context
 from ..plans.review import reviewed
 from ..plans.store import stored
@@ -42,11 +42,9 @@ SELECT s AS supplier, count(*) AS triads FROM pc JOIN ps USING (p) JOIN sc USING
 def network_triads(t: Tables) -> DataFrame:
     """Triads of part, supplier and customer, told by supplier."""
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey").join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    node = lambda sign, name: F.concat(F.lit(sign), F.col(name).cast("string"))
-    p, s, c = node("p", "l_partkey"), node("s", "l_suppkey"), node("c", "o_custkey")
-    edges = lines.select(F.explode(F.array(F.struct(p.alias("a"), s.alias("b")), F.struct(s.alias("a"), c.alias("b")), F.struct(p.alias("a"), c.alias("b")))).alias("e")).select("e.a", "e.b")
-    found = triads(edges, lambda df: stored(df, "links"))
-    return found.groupBy(F.col("z").alias("supplier")).agg(F.count(F.lit(1)).alias("triads"))
+    rows = lines.select(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y"), F.col("o_custkey").alias("z"))
+    found = triads_of_kinds(rows, lambda df: stored(df, "lines")).groupBy("y").agg(F.count(F.lit(1)).alias("triads"))
+    return found.select(F.concat(F.lit("s"), F.col("y").cast("string")).alias("supplier"), "triads")
 
 
 _LABELS = ["red", "hot", "widget", "bolt", "red widget", "old bolt", "Old"]
