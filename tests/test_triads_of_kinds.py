@@ -44,8 +44,12 @@ def test_the_query_shuffles_no_pairs(spark, tmp_path):
     lines = [(40 * p + k, p, (k * 7 + p) % 40) for p in range(20) for k in range(40)] * 2
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
     spark.createDataFrame([(o, o % 40) for o in range(800)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
-    before = shuffled(spark)
-    got = QUERIES["network_triads"](spark, str(tmp_path)).collect()
+    before, threshold = shuffled(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the tables were large
+    try:
+        got = QUERIES["network_triads"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     moved = shuffled(spark) - before
     want = brute([(p, s, o % 40) for o, p, s in set(lines)])
     assert {r["supplier"]: r["triads"] for r in got} == {f"s{s}": sum(t[1] == s for t in want) for s in range(40)}
